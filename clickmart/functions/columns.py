@@ -19,7 +19,7 @@ EVENT_LABELS = (
 PRODUCT_LABEL = "add product"
 ALL_EVENT_LABELS = (PRODUCT_LABEL, "go home", "payment cart", "go cart", "confirmation payment")
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+EPOCH = "1970-01-01 00:00:00"
 
 
 def _c(c: Column | str) -> Column:
@@ -61,7 +61,7 @@ def hour_start(ts: Column | str) -> Column:
 
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (time-zone free)."""
-    return F.timestamp_diff("MICROSECOND", _EPOCH, _c(ts))
+    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), _c(ts))
 
 
 def normalise_uuid(c: Column | str) -> Column:

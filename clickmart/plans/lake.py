@@ -1,13 +1,15 @@
 """Lazy wiring of feeds -> stage -> marts for one input directory.
 
-Nothing is cached or materialised here: every accessor returns a fresh
-logical plan so Catalyst sees (and prunes) the whole query. The pipeline
-(``plans.pipeline``) is the path that materialises the layers as tables.
+Nothing is cached or materialised here: every table is built on first access
+(PySpark analyses a plan as soon as it is built, so building only what a
+query touches matters), and each accessor returns a logical plan so Catalyst
+sees and prunes the whole query. The pipeline (``plans.pipeline``) is the
+path that materialises the layers as tables.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,15 +17,66 @@ from clickmart.operators import marts, stage
 from clickmart.sources.feeds import load_feeds
 
 
+class LazyTables(Mapping):
+    """name -> DataFrame, each built once on first access."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def stage_tables(feeds: Mapping[str, DataFrame]) -> LazyTables:
+    b = lambda: feeds["browser_events"]
+    loc = lambda: feeds["location_events"]
+    return LazyTables({
+        "conversion": lambda: stage.conversion(b(), loc()),
+        "devices": lambda: stage.devices(feeds["device_events"]),
+        "events": lambda: stage.events(b()),
+        "geo": lambda: stage.geo(feeds["geo_events"]),
+        "purchases": lambda: stage.purchases(b(), loc()),
+        "session_info": lambda: stage.session_info(b()),
+        "transitions": lambda: stage.transitions(b(), loc()),
+    })
+
+
+def mart_tables(s: Mapping[str, DataFrame]) -> LazyTables:
+    """Mart name -> DataFrame over stage tables (names as in the dashboard)."""
+    return LazyTables({
+        "campaign_purchase_analysis_hourly":
+            lambda: marts.campaign_purchases_hourly(s["purchases"], s["conversion"]),
+        "click_conversion_rates_hourly":
+            lambda: marts.source_purchases_hourly(s["purchases"], s["conversion"]),
+        "events_distribution_hourly":
+            lambda: marts.events_distribution_hourly(s["transitions"], s["devices"]),
+        "purchased_products_count_hourly": lambda: marts.products_purchased_hourly(s["purchases"]),
+        "top_performing_products": lambda: marts.top_products(s["transitions"]),
+        "users_segments_agg": lambda: marts.users_segments(s["devices"], s["conversion"]),
+        "users_purchases_segments_agg":
+            lambda: marts.users_purchases_segments(s["purchases"], s["devices"], s["conversion"]),
+    })
+
+
 class Lake:
-    def __init__(self, feeds: dict[str, DataFrame]):
+    def __init__(self, feeds: Mapping[str, DataFrame]):
         self.feeds = feeds
+        self.stage = stage_tables(feeds)
+        self.marts = mart_tables(self.stage)
 
     @classmethod
     def from_dir(cls, spark: SparkSession, sf_dir: str) -> "Lake":
         return cls(load_feeds(spark, sf_dir))
 
-    # raw feeds
     @property
     def browser(self) -> DataFrame:
         return self.feeds["browser_events"]
@@ -39,36 +92,3 @@ class Lake:
     @property
     def geo(self) -> DataFrame:
         return self.feeds["geo_events"]
-
-    # stage
-    @cached_property
-    def stage(self) -> dict[str, DataFrame]:
-        return {
-            "conversion": stage.conversion(self.browser, self.location),
-            "devices": stage.devices(self.device),
-            "events": stage.events(self.browser),
-            "geo": stage.geo(self.geo),
-            "purchases": stage.purchases(self.browser, self.location),
-            "session_info": stage.session_info(self.browser),
-            "transitions": stage.transitions(self.browser, self.location),
-        }
-
-    # marts
-    @cached_property
-    def marts(self) -> dict[str, DataFrame]:
-        s = self.stage
-        return build_marts(s)
-
-
-def build_marts(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Mart name -> DataFrame over stage tables (names as in the dashboard)."""
-    return {
-        "campaign_purchase_analysis_hourly": marts.campaign_purchases_hourly(s["purchases"], s["conversion"]),
-        "click_conversion_rates_hourly": marts.source_purchases_hourly(s["purchases"], s["conversion"]),
-        "events_distribution_hourly": marts.events_distribution_hourly(s["transitions"], s["devices"]),
-        "purchased_products_count_hourly": marts.products_purchased_hourly(s["purchases"]),
-        "top_performing_products": marts.top_products(s["transitions"]),
-        "users_segments_agg": marts.users_segments(s["devices"], s["conversion"]),
-        "users_purchases_segments_agg": marts.users_purchases_segments(
-            s["purchases"], s["devices"], s["conversion"]),
-    }

@@ -3,12 +3,17 @@
 ``events(event_id, ts, user_id, event_type, value, props)`` carries one row per
 click; every feed is a narrow projection of it (no shuffle), so the feeds grow
 with the table and keep its partitioning. Sessions are user-days.
+
+The projections are Spark SQL expression lists (``selectExpr``): they are
+parsed on the JVM in one call per feed instead of one Python round trip per
+column function.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
 from clickmart.sources import schemas
 
@@ -21,127 +26,104 @@ LANGUAGES = ("en_US", "de_DE")                        # by user_id % 2
 REFERER_URLS = ("www.a.example", "www.b.example", "www.c.example")   # by k % 3
 REFERER_MEDIA = ("internal", "search")                # by k % 2
 UTM_MEDIA = ("organic", "cpc", "email")               # by k % 3
-UTM_SOURCES = ("facebook", "google", "bing", None)    # by k % 4
+UTM_SOURCES = ("facebook", "google", "bing", None)    # by k % 4 (3 -> NULL)
 OS_NAMES = ("iOS", "Android", "Windows", "Linux")     # by user_id % 4
 TIMEZONE = "Europe/Berlin"
 
 
-def _txt(c: Column) -> Column:
-    return c.cast("string")
-
+def _q(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
-def _uuid(prefix: str, n: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(_txt(n), 12, "0"))
 
-
-def _pick(n: Column, values: tuple) -> Column:
+def _pick(n: str, values: tuple) -> str:
     """``CASE n WHEN 0 THEN values[0] ... ELSE values[-1] END``; a trailing None
     means no ELSE (NULL)."""
     *head, last = values
-    out = None
-    for i, v in enumerate(head):
-        out = F.when(n == i, F.lit(v)) if out is None else out.when(n == i, F.lit(v))
-    return out if last is None else out.otherwise(F.lit(last))
+    whens = " ".join(f"WHEN {i} THEN {_q(v)}" for i, v in enumerate(head))
+    tail = "" if last is None else f" ELSE {_q(last)}"
+    return f"CASE {n} {whens}{tail} END"
+
+
+def _txt(x: str) -> str:
+    return f"CAST({x} AS STRING)"
+
+
+def _uuid(prefix: str, n: str) -> str:
+    return f"concat({_q(prefix)}, lpad({_txt(n)}, 12, '0'))"
+
+
+_K = "try_cast(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+_SID = _uuid(SESSION_ID_PREFIX, "user_id * 100 + day(ts)")
+_EID = _uuid(EVENT_ID_PREFIX, "event_id")
+
+_PATH = ("CASE event_type WHEN 'view' THEN concat('/product_', " + _txt("k % 20") + ") "
+         "WHEN 'purchase' THEN '/confirmation' WHEN 'signup' THEN '/payment' "
+         "WHEN 'click' THEN (CASE WHEN k % 2 = 0 THEN '/home' ELSE '/cart' END) "
+         "ELSE '/error' END")
+
+FEED_EXPRESSIONS: dict[str, dict[str, str]] = {
+    "browser_events": {
+        "event_id": _EID,
+        "event_timestamp": "ts",
+        "event_type": "'pageview'",
+        "click_id": _SID,
+        "browser_name": _pick("user_id % 3", BROWSERS),
+        "browser_user_agent": f"concat('UA/', {_txt('user_id % 7')})",
+        "browser_language": _pick("user_id % 2", LANGUAGES),
+    },
+    "location_events": {
+        "event_id": _EID,
+        "page_url": f"concat({_q(PAGE_URL_PREFIX)}, {_txt('k')})",
+        "page_url_path": _PATH,
+        "referer_url": _pick("k % 3", REFERER_URLS),
+        "referer_medium": _pick("k % 2", REFERER_MEDIA),
+        "utm_medium": _pick("k % 3", UTM_MEDIA),
+        "utm_source": _pick("k % 4", UTM_SOURCES),
+        "utm_content": f"concat('ad_', {_txt('k % 5')})",
+        "utm_campaign": f"concat('campaign_', {_txt('k % 6')})",
+    },
+    "device_events": {
+        "click_id": _SID,
+        "os": f"concat('os-', {_txt('user_id % 11')})",
+        "os_name": _pick("user_id % 4", OS_NAMES),
+        "os_timezone": _q(TIMEZONE),
+        "device_type": "CASE WHEN user_id % 4 < 2 THEN 'Mobile' ELSE 'Computer' END",
+        "device_is_mobile": "user_id % 4 < 2",
+        "user_custom_id": f"concat('u', {_txt('user_id')}, '@example.com')",
+        "user_domain_id": _uuid(EVENT_ID_PREFIX, "user_id"),
+    },
+    "geo_events": {
+        "click_id": _SID,
+        "geo_latitude": _txt("user_id % 90"),
+        "geo_longitude": _txt("user_id % 180"),
+        "geo_country": "CASE WHEN user_id % 3 = 0 THEN 'DE' ELSE 'US' END",
+        "geo_timezone": _q(TIMEZONE),
+        "geo_region_name": f"concat('R', {_txt('user_id % 9')})",
+        "ip_address": f"concat('10.0.0.', {_txt('user_id % 50')})",
+    },
+}
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def _base(events: DataFrame) -> DataFrame:
-    return events.select(
-        "event_id", "ts", "user_id", "event_type",
-        F.regexp_extract("props", "([0-9]+)", 1).try_cast("int").alias("k"),
-    )
-
-
-def _session_id(user_id: Column, ts: Column) -> Column:
-    return _uuid(SESSION_ID_PREFIX, user_id * 100 + F.dayofmonth(ts))
-
-
-def browser_events(events: DataFrame) -> DataFrame:
-    e = _base(events)
-    u = F.col("user_id")
-    return e.select(
-        _uuid(EVENT_ID_PREFIX, F.col("event_id")).alias("event_id"),
-        F.col("ts").alias("event_timestamp"),
-        F.lit("pageview").alias("event_type"),
-        _session_id(u, F.col("ts")).alias("click_id"),
-        _pick(u % 3, BROWSERS).alias("browser_name"),
-        F.concat(F.lit("UA/"), _txt(u % 7)).alias("browser_user_agent"),
-        _pick(u % 2, LANGUAGES).alias("browser_language"),
-    )
-
-
-def _page_path(event_type: Column, k: Column) -> Column:
-    return (F.when(event_type == "view", F.concat(F.lit("/product_"), _txt(k % 20)))
-            .when(event_type == "purchase", F.lit("/confirmation"))
-            .when(event_type == "signup", F.lit("/payment"))
-            .when(event_type == "click", F.when(k % 2 == 0, F.lit("/home")).otherwise(F.lit("/cart")))
-            .otherwise(F.lit("/error")))
-
-
-def location_events(events: DataFrame) -> DataFrame:
-    e = _base(events)
-    k = F.col("k")
-    return e.select(
-        _uuid(EVENT_ID_PREFIX, F.col("event_id")).alias("event_id"),
-        F.concat(F.lit(PAGE_URL_PREFIX), _txt(k)).alias("page_url"),
-        _page_path(F.col("event_type"), k).alias("page_url_path"),
-        _pick(k % 3, REFERER_URLS).alias("referer_url"),
-        _pick(k % 2, REFERER_MEDIA).alias("referer_medium"),
-        _pick(k % 3, UTM_MEDIA).alias("utm_medium"),
-        _pick(k % 4, UTM_SOURCES).alias("utm_source"),
-        F.concat(F.lit("ad_"), _txt(k % 5)).alias("utm_content"),
-        F.concat(F.lit("campaign_"), _txt(k % 6)).alias("utm_campaign"),
-    )
-
-
-def device_events(events: DataFrame) -> DataFrame:
-    u = F.col("user_id")
-    return events.select(
-        _session_id(u, F.col("ts")).alias("click_id"),
-        F.concat(F.lit("os-"), _txt(u % 11)).alias("os"),
-        _pick(u % 4, OS_NAMES).alias("os_name"),
-        F.lit(TIMEZONE).alias("os_timezone"),
-        F.when(u % 4 < 2, F.lit("Mobile")).otherwise(F.lit("Computer")).alias("device_type"),
-        (u % 4 < 2).alias("device_is_mobile"),
-        F.concat(F.lit("u"), _txt(u), F.lit("@example.com")).alias("user_custom_id"),
-        _uuid(EVENT_ID_PREFIX, u).alias("user_domain_id"),
-    )
-
-
-def geo_events(events: DataFrame) -> DataFrame:
-    u = F.col("user_id")
-    return events.select(
-        _session_id(u, F.col("ts")).alias("click_id"),
-        _txt(u % 90).alias("geo_latitude"),
-        _txt(u % 180).alias("geo_longitude"),
-        F.when(u % 3 == 0, F.lit("DE")).otherwise(F.lit("US")).alias("geo_country"),
-        F.lit(TIMEZONE).alias("geo_timezone"),
-        F.concat(F.lit("R"), _txt(u % 9)).alias("geo_region_name"),
-        F.concat(F.lit("10.0.0."), _txt(u % 50)).alias("ip_address"),
-    )
-
-
-_BUILDERS = {
-    "browser_events": browser_events,
-    "device_events": device_events,
-    "geo_events": geo_events,
-    "location_events": location_events,
-}
+def feed_from_events(events: DataFrame, name: str) -> DataFrame:
+    """One feed as a narrow projection of ``events``, columns in schema order."""
+    exprs = FEED_EXPRESSIONS[name]
+    cols = [f"CAST({exprs[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in schemas.FEED_SCHEMAS[name].fields]
+    src = events.selectExpr("*", f"{_K} AS k") if name == "location_events" else events
+    return src.selectExpr(*cols)
 
 
-def feeds_from_events(events: DataFrame) -> dict[str, DataFrame]:
-    """All four feeds, columns in the declared schema order."""
-    out = {}
-    for name, build in _BUILDERS.items():
-        df = build(events)
-        out[name] = df.select([F.col(f.name).cast(f.dataType) for f in schemas.FEED_SCHEMAS[name].fields])
-    return out
+def feeds_from_events(events: DataFrame) -> Mapping[str, DataFrame]:
+    """All four feeds (built lazily on first access)."""
+    from clickmart.plans.lake import LazyTables
+    return LazyTables({name: (lambda n=name: feed_from_events(events, n)) for name in FEED_EXPRESSIONS})
 
 
-def load_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def load_feeds(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return feeds_from_events(load_events(spark, sf_dir))
 
 
