@@ -26,9 +26,15 @@ def conversion(browser: DataFrame, location: DataFrame) -> DataFrame:
     per task; duplicate location rows of the chosen id fan out.
     """
     ids = location.select("event_id")
-    last = (browser.select(F.col("click_id").alias("session_id"), "event_id")
-            .join(ids, "event_id", "left_semi")
-            .groupBy("session_id").agg(F.max("event_id").alias("event_id")))
+    present = (browser.select(F.col("click_id").alias("session_id"), "event_id")
+               .join(ids, "event_id", "left_semi"))
+    return conversion_from_ids(present, location)
+
+
+def conversion_from_ids(session_events: DataFrame, location: DataFrame) -> DataFrame:
+    """S1 from (session_id, event_id) pairs already known to be in both feeds
+    (e.g. a materialised transitions table); multiplicity does not matter."""
+    last = session_events.groupBy("session_id").agg(F.max("event_id").alias("event_id"))
     return (last.join(location.select("event_id", *MARKETING), "event_id")
             .select("session_id", *MARKETING))
 
@@ -99,11 +105,18 @@ def purchases(browser: DataFrame, location: DataFrame,
     Both "strictly earlier" steps are range frames (micros, -1), never a
     self-join; rows with a NULL session or time skip them (prior = 0).
     """
-    b = browser.select("click_id", "event_id", "event_timestamp")
+    b = browser.select(F.col("click_id").alias("session_id"), "event_id", "event_timestamp")
     l = (location.select("event_id", "page_url_path")
          .where(is_product("page_url_path") | is_confirmation("page_url_path")))
-    ev = (b.join(l, "event_id")
-          .select("click_id", "event_id", "event_timestamp",
+    return purchases_from_events(b.join(l, "event_id"), bucket_us)
+
+
+def purchases_from_events(joined: DataFrame, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+    """S5 from browser-location joined rows (session_id, event_id,
+    event_timestamp, page_url_path), e.g. a materialised transitions table."""
+    l_ok = is_product("page_url_path") | is_confirmation("page_url_path")
+    ev = (joined.where(l_ok)
+          .select(F.col("session_id").alias("click_id"), "event_id", "event_timestamp",
                   is_product("page_url_path").cast("long").alias("is_product"),
                   is_confirmation("page_url_path").alias("is_conf"),
                   epoch_micros("event_timestamp").alias("us")))

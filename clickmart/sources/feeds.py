@@ -108,13 +108,14 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def feed_from_events(events: DataFrame, name: str) -> DataFrame:
-    """One feed as a narrow projection of ``events``, columns in schema order."""
+def feed_from_events(events: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One feed as a narrow projection of ``events``, columns in schema order
+    (plus the ``keep`` columns of ``events``, passed through)."""
     exprs = FEED_EXPRESSIONS[name]
     cols = [f"CAST({exprs[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schemas.FEED_SCHEMAS[name].fields]
     src = events.selectExpr("*", f"{_K} AS k") if name == "location_events" else events
-    return src.selectExpr(*cols)
+    return src.selectExpr(*cols, *keep)
 
 
 def feeds_from_events(events: DataFrame) -> Mapping[str, DataFrame]:

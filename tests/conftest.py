@@ -15,7 +15,10 @@ from clickmart.sources import schemas  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app="clickmart-tests", shuffle_partitions=8)
+    import tempfile
+    wh = tempfile.mkdtemp(prefix="clickmart-wh-")
+    s = build_session("local[*]", app="clickmart-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
