@@ -282,6 +282,7 @@ JOIN device_events d ON d.click_id = g.click_id
 JOIN browser_events b ON b.click_id = g.click_id
 WHERE g.ip_address = {_lit(P.DETAIL_IP)}
 GROUP BY 1, 2, 3, 4, 5""",
+    "ingest_json_location_events": "SELECT * FROM location_events",
     "report_date_range": f"SELECT * FROM m_events WHERE {_RANGE}",
     "report_distinct_values": f"""
 SELECT DISTINCT 'os_name' AS field, os_name AS value FROM m_events
@@ -330,6 +331,8 @@ SELECT (SELECT CAST(coalesce(sum(cnt), 0) AS BIGINT) FROM m_events) AS total_eve
        (SELECT count(*) FROM m_products) AS total_products""",
 }
 
+BODIES["ingest_json_feed_counts"] = BODIES["explore_source_counts"]
+
 _PREFIX = "WITH " + ",".join([FEEDS, STAGE, MARTS]) + "\n"
 
 

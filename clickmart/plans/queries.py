@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from clickmart.operators import explore, marts, report, stage
 from clickmart.plans import params as P
 from clickmart.plans.lake import Lake
+from clickmart.session import scratch_path
+from clickmart.sources import ingest, schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -249,3 +251,31 @@ def _r17(k: Lake):
     m = k.marts
     return report.overall_kpis(m["events_distribution_hourly"], m["purchased_products_count_hourly"],
                                m["top_performing_products"])
+
+
+# ---- ingest ----------------------------------------------------------------
+def _json_roundtrip(k: Lake, feeds) -> dict[str, DataFrame]:
+    """Write the derived feeds as JSON lines below the shared checkpoint folder
+    and read them back with the explicit schemas (the raw-ingest path)."""
+    import uuid
+    spark = k.browser.sparkSession
+    base = scratch_path(spark, "ingest-json", uuid.uuid4().hex)
+    out = {}
+    for feed in feeds:
+        path = f"{base}/{feed}"
+        ingest.write_json_feed(k.feeds[feed], path)
+        out[feed] = ingest.read_json_feed(spark, f"{path}/*.json", feed, keep_corrupt=False).drop(
+            ingest.LOAD_HOUR)
+    return out
+
+
+@register("ingest_json_feed_counts")
+def _i2(k: Lake):
+    """JSON-lines scan of every feed with an explicit schema, then rows per feed."""
+    return explore.source_counts(_json_roundtrip(k, schemas.FEEDS))
+
+
+@register("ingest_json_location_events")
+def _i1(k: Lake):
+    """The location feed read back from JSON lines, by name."""
+    return _json_roundtrip(k, ["location_events"])["location_events"]

@@ -87,6 +87,16 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> tuple[list[str], list
     return present, missing
 
 
+# ---- writing landing-style JSON lines (tests, replays) ----------------------
+JSON_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def write_json_feed(df: DataFrame, path: str) -> None:
+    """Write a feed as JSON-lines part files (timestamps in the feed's text form)."""
+    (df.write.mode("overwrite").option("timestampNTZFormat", JSON_TS_FORMAT)
+     .option("ignoreNullFields", "true").json(path))
+
+
 # ---- reading (I1, I2) --------------------------------------------------------
 def _normalise(df: DataFrame, feed: str) -> DataFrame:
     ids = schemas.ID_COLUMNS[feed]
