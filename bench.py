@@ -43,7 +43,7 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in REGISTRY]
     spark = build_session(f"local[{cpus}]", app="clickmart-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "2g")})
     timings = {}
     for name in names:
         run_once(spark, name, sf_dir)
