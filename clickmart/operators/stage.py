@@ -113,7 +113,16 @@ def purchases(browser: DataFrame, location: DataFrame,
 
 def purchases_from_events(joined: DataFrame, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """S5 from browser-location joined rows (session_id, event_id,
-    event_timestamp, page_url_path), e.g. a materialised transitions table."""
+    event_timestamp, page_url_path), e.g. a materialised transitions table.
+
+    Tied rows (same session and micros) share every "strictly earlier" frame,
+    so each step first collapses the rows to distinct (session, micros) keys
+    with a map-side-combined aggregate, runs the running aggregate over those
+    keys only (``strictly_earlier``: split by time bucket, so one session never
+    fills a task) and joins the result back. Copies of one event -- however
+    many -- therefore never meet in one window partition; the joins back are
+    plain equi-joins that AQE splits when one key is hot.
+    """
     l_ok = is_product("page_url_path") | is_confirmation("page_url_path")
     ev = (joined.where(l_ok)
           .select(F.col("session_id").alias("click_id"), "event_id", "event_timestamp",
@@ -121,25 +130,31 @@ def purchases_from_events(joined: DataFrame, bucket_us: int = DEFAULT_BUCKET_US)
                   is_confirmation("page_url_path").alias("is_conf"),
                   epoch_micros("event_timestamp").alias("us")))
     valid = F.col("click_id").isNotNull() & F.col("us").isNotNull()
-
-    counted = strictly_earlier(ev.where(valid), "click_id", "us", "is_product", "sum",
-                               "n_prior", bucket_us)
+    key = ["click_id", "us"]
+
+    # 1. products strictly before each (session, time) that has a confirmation
+    at_key = (ev.where(valid).groupBy(*key)
+              .agg(F.sum("is_product").alias("p"), F.max(F.col("is_conf").cast("int")).alias("c")))
+    before = (strictly_earlier(at_key, "click_id", "us", "p", "sum", "n_prior", bucket_us)
+              .where("c = 1")
+              .select(*key, F.greatest(F.lit(1).cast("long"), F.col("n_prior")).alias("n")))
     conf_cols = ["click_id", "event_id", "event_timestamp", "us"]
-    conf = (counted.where("is_conf")
-            .select(*conf_cols, F.greatest(F.lit(1).cast("long"), F.col("n_prior")).alias("n"))
-            .unionByName(ev.where(~valid & F.col("is_conf"))
-                         .select(*conf_cols, F.lit(1).cast("long").alias("n"))))
+    conf_rows = ev.where("is_conf").select(*conf_cols)
+    conf = (conf_rows.where(valid).join(before, key)
+            .unionByName(conf_rows.where(~valid).withColumn("n", F.lit(1).cast("long"))))
 
-    # One exchange on event_id serves both the aggregate and the join.
-    conf = conf.repartition("event_id")
+    # 2. per (event_id, time): sum of n, attached to every confirmation with that id
     pc = (conf.groupBy("event_id", F.col("event_timestamp").alias("pc_ts"))
           .agg(F.sum("n").alias("product_count")).drop("pc_ts"))
     cum = conf.select(*conf_cols).join(pc, "event_id")
 
-    prior = strictly_earlier(cum.where(valid), "click_id", "us", "product_count", "max",
-                             "prior_max", bucket_us)
-    done = prior.select(F.col("click_id").alias("session_id"), "event_timestamp",
-                        (F.col("product_count") - F.coalesce("prior_max", F.lit(0))).alias("product_count"))
+    # 3. minus the greatest cumulative count of strictly earlier confirmations
+    top = cum.where(valid).groupBy(*key).agg(F.max("product_count").alias("m"))
+    prior = (strictly_earlier(top, "click_id", "us", "m", "max", "prior_max", bucket_us)
+             .select(*key, "prior_max"))
+    done = (cum.where(valid).join(prior, key)
+            .select(F.col("click_id").alias("session_id"), "event_timestamp",
+                    (F.col("product_count") - F.coalesce("prior_max", F.lit(0))).alias("product_count")))
     rest = cum.where(~valid).select(F.col("click_id").alias("session_id"), "event_timestamp",
                                     "product_count")
     return done.unionByName(rest)
