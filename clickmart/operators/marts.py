@@ -104,3 +104,50 @@ def users_segments(devices: DataFrame, conversion: DataFrame) -> DataFrame:
     return (d.join(c, "session_id")
             .groupBy("os_name", "device_type", "utm_source")
             .agg(F.countDistinct("user_custom_id").alias("users")))
+
+
+# ---- the same marts straight from the feeds ---------------------------------
+# transitions is the browser x location join on event_id; a count over it is,
+# per event_id, (browser rows) x (location rows). Counting each side per
+# event_id first gives the same numbers without materialising the product, so
+# copies of one event -- however many -- cost linear work.
+
+def _location_counts(location: DataFrame, *cols) -> DataFrame:
+    return location.groupBy("event_id", *cols).agg(F.count(F.lit(1)).alias("l_n"))
+
+
+def _browser_counts(browser: DataFrame, *cols) -> DataFrame:
+    return browser.groupBy("event_id", *cols).agg(F.count(F.lit(1)).alias("b_n"))
+
+
+def events_distribution_hourly_from_feeds(browser: DataFrame, location: DataFrame,
+                                          devices: DataFrame) -> DataFrame:
+    """M3 computed from the feeds (equal to ``events_distribution_hourly`` over
+    the transitions table)."""
+    l = _location_counts(location, event_label("page_url_path").alias("event"))
+    b = _browser_counts(browser, F.col("click_id").alias("session_id"),
+                        hour_start("event_timestamp").alias("date_part"), "browser_name")
+    t = (l.join(b, "event_id")
+         .groupBy("session_id", "event", "date_part", "browser_name")
+         .agg(F.sum(F.col("l_n") * F.col("b_n")).alias("cnt")))
+    d = devices.select("session_id", "os_name", "device_type")
+    return (t.join(d, "session_id")
+            .groupBy("event", "date_part", "os_name", "device_type", "browser_name")
+            .agg(F.sum("cnt").alias("cnt")))
+
+
+def events_distribution_basic_from_feeds(browser: DataFrame, location: DataFrame) -> DataFrame:
+    """M3b computed from the feeds."""
+    l = _location_counts(location, event_label("page_url_path").alias("event"))
+    b = _browser_counts(browser, hour_start("event_timestamp").alias("date_part"))
+    return (l.join(b, "event_id").groupBy("event", "date_part")
+            .agg(F.sum(F.col("l_n") * F.col("b_n")).alias("cnt")))
+
+
+def top_products_from_feeds(browser: DataFrame, location: DataFrame) -> DataFrame:
+    """M5 computed from the feeds."""
+    l = _location_counts(location.where(is_product("page_url_path")),
+                         product_name("page_url_path").alias("product"))
+    b = _browser_counts(browser)
+    return (l.join(b, "event_id").groupBy("product")
+            .agg(F.sum(F.col("l_n") * F.col("b_n")).alias("cnt")))

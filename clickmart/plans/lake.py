@@ -67,11 +67,25 @@ def mart_tables(s: Mapping[str, DataFrame]) -> LazyTables:
     })
 
 
+def mart_tables_from_feeds(feeds: Mapping[str, DataFrame], s: Mapping[str, DataFrame]) -> LazyTables:
+    """Marts for the lazy (nothing materialised) path: the transitions-based
+    marts count per event_id on each feed instead of joining row by row."""
+    t = mart_tables(s)
+    b = lambda: feeds["browser_events"]
+    loc = lambda: feeds["location_events"]
+    t._builders.update({
+        "events_distribution_hourly":
+            lambda: marts.events_distribution_hourly_from_feeds(b(), loc(), s["devices"]),
+        "top_performing_products": lambda: marts.top_products_from_feeds(b(), loc()),
+    })
+    return t
+
+
 class Lake:
     def __init__(self, feeds: Mapping[str, DataFrame]):
         self.feeds = feeds
         self.stage = stage_tables(feeds)
-        self.marts = mart_tables(self.stage)
+        self.marts = mart_tables_from_feeds(feeds, self.stage)
 
     @classmethod
     def from_dir(cls, spark: SparkSession, sf_dir: str) -> "Lake":

@@ -97,12 +97,12 @@ def _m2(k: Lake):
 
 @register("mart_events_distribution_hourly")
 def _m3(k: Lake):
-    return marts.events_distribution_hourly(k.stage["transitions"], k.stage["devices"])
+    return k.marts["events_distribution_hourly"]
 
 
 @register("mart_events_distribution_basic")
 def _m3b(k: Lake):
-    return marts.events_distribution_basic(k.stage["transitions"])
+    return marts.events_distribution_basic_from_feeds(k.browser, k.location)
 
 
 @register("mart_products_purchased_hourly")
@@ -112,7 +112,7 @@ def _m4(k: Lake):
 
 @register("mart_top_products")
 def _m5(k: Lake):
-    return marts.top_products(k.stage["transitions"])
+    return k.marts["top_performing_products"]
 
 
 @register("mart_users_purchases_segments")

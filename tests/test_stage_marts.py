@@ -104,3 +104,20 @@ def test_users_segments_distinct_users(spark):
     p, d, c = _stage_fixture(spark)
     got = rows(marts.users_segments(d, c), "os_name", "utm_source", "users")
     assert got == [("Linux", "bing", 1), ("Linux", None, 1), ("iOS", "google", 2)]
+
+
+def test_feed_level_marts_equal_transitions_marts_with_copies(spark):
+    b = frame(spark, "browser_events", [
+        {"event_id": "e1", "click_id": "s", "event_timestamp": at(0), "browser_name": "Chrome"}] * 3 + [
+        {"event_id": "e2", "click_id": "s", "event_timestamp": at(70), "browser_name": "Chrome"},
+        {"event_id": "e3", "click_id": "t", "event_timestamp": at(5), "browser_name": "Safari"}])
+    l = frame(spark, "location_events", [{"event_id": "e1", "page_url_path": "/product_7"}] * 4 + [
+        {"event_id": "e2", "page_url_path": "/home"}, {"event_id": "e3", "page_url_path": "/error"},
+        {"event_id": "e9", "page_url_path": "/cart"}])
+    dv = spark.createDataFrame([("s", "iOS", "Mobile"), ("s", "iOS", "Tablet"), ("t", "Linux", "Computer")],
+                               "session_id string, os_name string, device_type string")
+    tr = stage.transitions(b, l)
+    assert rows(marts.events_distribution_hourly_from_feeds(b, l, dv)) == \
+        rows(marts.events_distribution_hourly(tr, dv))
+    assert rows(marts.events_distribution_basic_from_feeds(b, l)) == rows(marts.events_distribution_basic(tr))
+    assert rows(marts.top_products_from_feeds(b, l)) == rows(marts.top_products(tr)) == [("7", 12)]
