@@ -40,9 +40,18 @@ def build_session(master: str | None = None, app: str = "clickmart",
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    return root or (sc.getCheckpointDir() if sc is not None else None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -51,8 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
     if not root:
         root = tempfile.mkdtemp(prefix="clickmart-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    sc = _context(spark)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
