@@ -48,3 +48,17 @@ def test_campaign_mart_sums_match_source_mart(spark):
     k = Lake.from_dir(spark, SF)
     assert _total(k.marts["campaign_purchase_analysis_hourly"], "sm") == \
         _total(k.marts["click_conversion_rates_hourly"], "sm")
+
+
+def test_purchases_independent_of_bucket_width(spark):
+    """Sessions span many hours: hourly buckets exercise the cross-bucket
+    prefix on real data and must give exactly the day-bucket result."""
+    from clickmart.operators import stage
+    from clickmart.operators.prefix import HOUR_US
+    k = Lake.from_dir(spark, SF)
+    cols = ["session_id", "event_timestamp", "product_count"]
+    day = stage.purchases(k.browser, k.location).select(*cols)
+    hour = stage.purchases(k.browser, k.location, bucket_us=HOUR_US).select(*cols)
+    minute = stage.purchases(k.browser, k.location, bucket_us=HOUR_US // 60).select(*cols)
+    assert day.exceptAll(hour).count() == 0 and hour.exceptAll(day).count() == 0
+    assert day.exceptAll(minute).count() == 0 and minute.exceptAll(day).count() == 0
