@@ -134,3 +134,27 @@ def test_backfill_pipeline_equals_lazy_marts(spark, root):
         assert rows(stored[name]) == rows(expected[name].select(*stored[name].columns)), name
     listed = {(r.database, r.table) for r in ingest.catalog_listing(spark).collect()}
     assert ("mart", "top_performing_products") in listed and ("stage", "purchases") in listed
+
+
+@pytest.mark.parametrize("layout", ["source", "zip"])
+def test_ingest_hours_source_layouts(spark, root, layout):
+    db = f"raw_{layout}"
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    written = write_landing(spark, root, HOURS[:2], ["device_events"])
+    for h in HOURS[:2]:
+        src = ingest.landing_path(root, "device_events", h)
+        dst = ingest.source_path(root, "device_events", h, zipped=(layout == "zip"))
+        os.makedirs(os.path.dirname(dst), exist_ok=True)
+        if layout == "zip":
+            with zipfile.ZipFile(dst, "w") as z:
+                z.write(src, arcname="device_events.jsonl")
+        else:
+            with open(src) as a, open(dst, "w") as b:
+                b.write(a.read())
+    rep = ingest.ingest_hours(spark, root, HOURS[:3], layout=layout, db=db)
+    stat = {(r.feed, r.load_hour): r.status for r in rep.collect()}
+    assert stat[("device_events", HOURS[2])] == "skipped"
+    assert stat[("device_events", HOURS[0])] == "loaded"
+    t = spark.table(f"{db}.device_events")
+    assert t.count() == written["device_events"]
+    assert {r.load_hour for r in t.select("load_hour").distinct().collect()} <= set(HOURS[:2])
