@@ -158,3 +158,20 @@ def test_ingest_hours_source_layouts(spark, root, layout):
     t = spark.table(f"{db}.device_events")
     assert t.count() == written["device_events"]
     assert {r.load_hour for r in t.select("load_hour").distinct().collect()} <= set(HOURS[:2])
+
+
+def test_zip_captures_corrupt_lines(spark, root):
+    dst = ingest.source_path(root, "geo_events", HOURS[1])
+    os.makedirs(os.path.dirname(dst), exist_ok=True)
+    body = (json.dumps({"ip_address": "10.0.0.1", "click_id": "S1", "extra": True}) + "\n"
+            + "{broken\n" + json.dumps({"click_id": "s2"}) + "\n")
+    with zipfile.ZipFile(dst, "w") as z:
+        z.writestr("geo.jsonl", body)
+    df = ingest.read_zipped_feed(spark, dst, "geo_events").persist()
+    got = sorted((r.click_id or "", r.ip_address or "", r._corrupt_record is not None, r.load_hour)
+                 for r in df.collect())
+    assert got == [("", "", True, HOURS[1]), ("s1", "10.0.0.1", False, HOURS[1]),
+                   ("s2", "", False, HOURS[1])]
+    rep = ingest.load_report(df, "geo_events").first()
+    assert (rep.rows, rep.corrupt_rows) == (3, 1)
+    df.unpersist()
