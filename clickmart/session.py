@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. Session time zone is pinned so that anything
@@ -47,19 +44,16 @@ def _context(spark: SparkSession):
         return None
 
 
-def checkpoint_root(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; where that is
+    unset, a folder beside the tables, in the warehouse every executor reaches."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    sc = _context(spark)
-    return root or (sc.getCheckpointDir() if sc is not None else None)
+    return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is configured
-    (local tests) create a scratch one."""
+    """Point ``checkpoint()`` at the shared folder unless the application has done so."""
     root = checkpoint_root(spark)
-    if not root:
-        root = tempfile.mkdtemp(prefix="clickmart-ckpt-")
     sc = _context(spark)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -67,14 +61,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared checkpoint folder (never a machine-local temp dir
-    unless the session itself has no shared folder configured)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([root, *parts])
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+    """A path below the shared folder."""
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
