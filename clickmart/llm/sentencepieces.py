@@ -35,7 +35,8 @@ from clickmart.llm.common import column, slices
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-CACHE_WORDS = 200_000
+TAIL = re.compile(r"(?<=[^\W_])\W+$")
+CACHE_WORDS = 600_000
 REPORT = "doc_id long, n_words long, n_pieces long, n_byte_pieces long, ids_sha256 string, round_trip boolean"
 
 
@@ -64,7 +65,9 @@ class Encoder:
         self.raw = [bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else b"" if skip[i] else p.encode()
                     for i, p in enumerate(self.pieces)]
         self.longest = max(map(len, self.ids))
-        self.stable: dict[tuple[str, str], bool] = {}
+        self.packed = {p: np.array([i], "<i4").tobytes() for p, i in self.ids.items()}
+        self.after: dict[str, dict[str, bool]] = {p: {} for p in self.ids}  # piece: may it follow that piece?
+        self.joined = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}  # neighbours inside some piece
         self.words: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -80,46 +83,56 @@ class Encoder:
 
     def follows(self, a: str, b: str) -> bool:
         """May piece b stand after piece a (or first, if a is empty)?"""
-        key = (a, b)
-        if key not in self.stable:
-            if len(self.stable) > 4 * CACHE_WORDS:
-                self.stable.clear()
-            self.stable[key] = self.merged(a + b) == ([a, b] if a else [b])
-        return self.stable[key]
-
-    def forward(self, word: str, last: list[str], start: int) -> None:
-        """Fills last[i], the last piece of word[:i], for i over ``start``."""
-        del last[start + 1:]
+        known = self.after[b]
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        known[a] = found = self.merged(a + b) == ([a, b] if a else [b])
+        return found
+
+    def unknown(self, char: str) -> bytes:
+        return np.array([self.byte[b] for b in char.encode("utf-8", "replace")], "<i4").tobytes()
+
+    def forward(self, word: str, last: list[str], ids: list[bytes], start: int) -> None:
+        """Fills last[i], the last piece of word[:i], and ids[i], its packed pieces, for i over ``start``."""
+        del last[start + 1:], ids[start + 1:]
+        after = self.after
         for i in range(start + 1, len(word) + 1):
-            for k in range(max(0, i - self.longest), i):
+            for k in range(i - 1, max(-1, i - 1 - self.longest), -1):
                 piece = word[k:i]
-                if (k == i - 1 or piece in self.ids) and self.follows(last[k], piece):
+                known = after.get(piece)
+                if known is None:
+                    continue
+                fits = known.get(last[k])
+                if fits or fits is None and self.follows(last[k], piece):
                     last.append(piece)
+                    ids.append(ids[k] + self.packed[piece])
                     break
-
-    def packed(self, word: str, last: list[str]) -> bytes:
-        found, i = [], len(word)
-        while i:
-            found.append(last[i])
-            i -= len(last[i])
-        out: list[int] = []
-        for piece in reversed(found):
-            own = self.ids.get(piece)
-            out += [own] if own is not None else [self.byte[b] for b in piece.encode("utf-8", "replace")]
-        return np.array(out, "<i4").tobytes()
+            else:
+                last.append(word[i - 1])
+                ids.append(ids[i - 1] + self.unknown(word[i - 1]))
 
     def learn(self, words: set[str]) -> None:
-        """Adds the pieces of new words, in trie order."""
+        """Adds the pieces of new words, in trie order.
+
+        Closing punctuation is cut off first where no piece can span the cut.
+        """
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        last, before = [""], ""
-        for word in sorted(words - self.words.keys()):
+        new, cuts = words - self.words.keys(), {}
+        for word in new:
+            if not word[-1].isalnum() and (m := TAIL.search(word)) and word[m.start() - 1:m.start() + 1] not in self.joined:
+                cuts[word] = m.start()
+        heads = new.difference(cuts) | {w[:c] for w, c in cuts.items()} | {w[c:] for w, c in cuts.items()}
+        last, ids, before = [""], [b""], ""
+        for word in sorted(heads - self.words.keys()):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            self.forward(word, last, shared)
-            self.words[word] = self.packed(word, last)
+            self.forward(word, last, ids, shared)
+            self.words[word] = ids[-1]
             before = word
+        for word, c in cuts.items():
+            self.words[word] = self.words[word[:c]] + self.words[word[c:]]
 
     def split(self, text: str) -> list[str]:
         return WORD.findall(MARK + text.replace(" ", MARK)) if text else []
