@@ -5,6 +5,7 @@ from __future__ import annotations
 from clickmart.llm import (
     chat_format,
     decontaminate,
+    minhash,
     oracle,
     quality_rules,
     sentencepieces,
@@ -39,12 +40,16 @@ def op7_url_filter(spark, sf_dir):
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
 
 
+def op9_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepieces(spark, sf_dir):
     return sentencepieces.report(table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_quality_rules, op2_warc, op4_chat_format, op5_decontaminate, op7_url_filter, op10_sentencepieces)}
+    op1_quality_rules, op2_warc, op4_chat_format, op5_decontaminate, op7_url_filter, op9_minhash, op10_sentencepieces)}
 
 ORACLE_SQL = {
     "op1_quality_rules": oracle.OP1,
@@ -52,4 +57,5 @@ ORACLE_SQL = {
     "op4_chat_format": oracle.OP4,
     "op5_decontaminate": oracle.OP5,
     "op7_url_filter": oracle.OP7,
+    "op9_minhash": oracle.OP9,
 }
