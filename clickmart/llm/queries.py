@@ -9,6 +9,7 @@ from clickmart.llm import (
     oracle,
     quality_rules,
     sentencepieces,
+    substring_dedup,
     url_filter,
     warc,
 )
@@ -28,6 +29,10 @@ def op2_warc(spark, sf_dir):
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_recompression(spark, sf_dir):
+    return substring_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark, sf_dir):
     return chat_format.chat_format(table(spark, sf_dir, "conversations"))
 
@@ -49,11 +54,12 @@ def op10_sentencepieces(spark, sf_dir):
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_quality_rules, op2_warc, op4_chat_format, op5_decontaminate, op7_url_filter, op9_minhash, op10_sentencepieces)}
+    op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op7_url_filter, op9_minhash, op10_sentencepieces)}
 
 ORACLE_SQL = {
     "op1_quality_rules": oracle.OP1,
     "op2_warc": oracle.OP2,
+    "op3_recompression": oracle.OP3,
     "op4_chat_format": oracle.OP4,
     "op5_decontaminate": oracle.OP5,
     "op7_url_filter": oracle.OP7,
