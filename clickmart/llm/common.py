@@ -14,6 +14,7 @@ from clickmart.session import scratch_path
 
 # Text handled at a time inside a task; one longer text is handled alone.
 SLICE_BYTES = 2 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +25,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared scratch folder and read it back.
 
     Cuts the lineage: a lost executor costs at most the tasks of the running
-    job, and a result that is used twice is computed once.
+    job, and a result that is used twice is computed once. The job's shuffle
+    files go as soon as it is written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
