@@ -160,7 +160,7 @@ def confirm(edges: DataFrame, texts: DataFrame, similarity: Similarity) -> DataF
 def find_links(signed: DataFrame, docs: DataFrame, similarity: Similarity) -> DataFrame:
     """The confirmed links (a, b) that connect all near duplicates of different sets; signed: one row per set."""
     rows = signed.select("doc_id", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
     rows = stored(rows.join(shared, "key").select("key", "doc_id"), "buckets")
     ids = rows.select("doc_id").distinct()
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
@@ -169,7 +169,8 @@ def find_links(signed: DataFrame, docs: DataFrame, similarity: Similarity) -> Da
     while True:
         hubs = rows.groupBy("key").agg(F.min("doc_id").alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high"),
                                        F.min(F.struct("doc_id", "comp"))["comp"].alias("hub_comp"))
-        rows = stored(rows.join(hubs.where("low <> high").select("key", "hub", "hub_comp"), "key"), "buckets")
+        hubs = stored(hubs.where("low <> high").select("key", "hub", "hub_comp"), "hubs")
+        rows = stored(rows.join(hubs, "key"), "buckets")
         edges = rows.where("comp <> hub_comp").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
         if tried is not None:
             edges = edges.join(tried.select("a", "b"), ["a", "b"], "left_anti")
