@@ -167,7 +167,8 @@ def compare_members(members: DataFrame, similarity: Similarity) -> DataFrame:
     sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks"))
     rows = members.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "comp", "text")
+        F.struct("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("block"),
+        "doc_id", "comp", "text")  # one column: a shuffle by hub alone would bring a hub's blocks together again
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         doc, comp = pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy()
@@ -189,7 +190,7 @@ def compare_members(members: DataFrame, similarity: Similarity) -> DataFrame:
                 found += [(doc[x], doc[y]) for y in other[np.unique(comp[other], return_index=True)[1]]]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("hub", "i", "j").applyInPandas(compare, "a long, b long")
+    return rows.groupBy("block").applyInPandas(compare, "a long, b long")
 
 
 def find_links(signed: DataFrame, docs: DataFrame, similarity: Similarity) -> DataFrame:
