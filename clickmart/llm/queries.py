@@ -10,6 +10,7 @@ from clickmart.llm import (
     quality_rules,
     sentencepieces,
     substring_dedup,
+    toxicity,
     url_filter,
     warc,
 )
@@ -41,6 +42,10 @@ def op5_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark, sf_dir):
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark, sf_dir):
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
 
@@ -54,7 +59,7 @@ def op10_sentencepieces(spark, sf_dir):
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op7_url_filter, op9_minhash, op10_sentencepieces)}
+    op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op6_toxicity, op7_url_filter, op9_minhash, op10_sentencepieces)}
 
 ORACLE_SQL = {
     "op1_quality_rules": oracle.OP1,
