@@ -46,7 +46,7 @@ SIGNATURE = "doc_id long, n_shingles long, set1 long, set2 long, bands array<lon
 
 @dataclass(frozen=True)
 class Similarity:
-    shingle_words: int = 4
+    shingle_words: int = 5
     percent: int = 80  # linked if 100 * intersection >= percent * union
 
 

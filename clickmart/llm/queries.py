@@ -10,6 +10,7 @@ from clickmart.llm import (
     quality_rules,
     sentencepieces,
     substring_dedup,
+    suffix_dedup,
     toxicity,
     url_filter,
     warc,
@@ -50,8 +51,12 @@ def op7_url_filter(spark, sf_dir):
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark, sf_dir):
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Similarity(shingle_words=4))
 
 
 def op10_sentencepieces(spark, sf_dir):
@@ -59,7 +64,7 @@ def op10_sentencepieces(spark, sf_dir):
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op6_toxicity, op7_url_filter, op9_minhash, op10_sentencepieces)}
+    op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op6_toxicity, op7_url_filter, op8_suffix_dedup, op9_minhash, op10_sentencepieces)}
 
 ORACLE_SQL = {
     "op1_quality_rules": oracle.OP1,
@@ -68,5 +73,6 @@ ORACLE_SQL = {
     "op4_chat_format": oracle.OP4,
     "op5_decontaminate": oracle.OP5,
     "op7_url_filter": oracle.OP7,
+    "op8_suffix_dedup": oracle.OP8,
     "op9_minhash": oracle.OP9,
 }
