@@ -8,7 +8,9 @@ earlier (smaller doc_id, or the same document at an earlier byte).
    one, are found by a partial aggregate; other strings cannot repeat.
 2. Neighbouring strings of one anchor form a context (at most 2 * LENGTH - GRAM
    bytes). Equal contexts are collapsed by an aggregate: all but the first go.
-3. Different contexts of one anchor are compared by their suffixes. A task
+3. Different contexts of one anchor are compared by their suffixes, if they
+   agree in the anchor and half of the rest on one side of it (equal strings
+   do). A task
    takes a collection of contexts (whole anchors, at most COLLECTION) and
    builds its Burrows-Wheeler transform and common prefixes column by column:
    each round inserts one symbol of every context, reading the last round's
@@ -42,8 +44,8 @@ from clickmart.llm.words import U, _bytes_names, mix, spans_names
 
 LENGTH = 100
 GRAM = 24
-COLLECTION = 8192
-ANCHOR_CONTEXTS = 2048
+COLLECTION = 4096
+ANCHOR_CONTEXTS = 512
 POSITION = U(31)  # low bits that hold a position where hash and position share a word
 LAST = (1 << 63) - 1
 
@@ -140,18 +142,25 @@ def occurrences(docs: DataFrame, length: int) -> DataFrame:
 
 
 class Columns:
-    """A collection's transform, common prefixes (up to ``cap``) and suffix numbers, kept in files between rounds."""
+    """A collection's transform, common prefixes and suffix numbers in a file; a round reads one and writes the next."""
 
-    def __init__(self, folder: str, cap: int):
-        self.at = {k: Path(folder, k) for k in ("bwt", "lcp", "suffix")}
-        self.kinds = {"bwt": np.uint16, "lcp": np.uint8, "suffix": np.int64}
-        self.cap = cap
+    def __init__(self, folder: str, number: type):
+        self.path = Path(folder, "columns")
+        self.kinds = (np.uint16, np.uint8, number)
 
-    def read(self, what: str) -> np.ndarray:
-        return np.fromfile(self.at[what], self.kinds[what])
+    def read(self) -> list[np.ndarray]:
+        data = self.path.read_bytes()
+        n = len(data) // sum(np.dtype(k).itemsize for k in self.kinds)
+        out, at = [], 0
+        for k in self.kinds:
+            out.append(np.frombuffer(data, k, n, at))
+            at += out[-1].nbytes
+        return out
 
-    def write(self, what: str, values: np.ndarray) -> None:
-        values.astype(self.kinds[what], copy=False).tofile(self.at[what])
+    def write(self, *values: np.ndarray) -> None:
+        with open(self.path, "wb") as f:
+            for v, k in zip(values, self.kinds, strict=True):
+                f.write(np.ascontiguousarray(v, k).data)
 
 
 def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -179,16 +188,15 @@ def sort_suffixes(texts: list[bytes], cap: int, folder: str) -> tuple[np.ndarray
     size = np.array([len(t) for t in texts], np.int64)
     begin = np.concatenate([[0], np.cumsum(size)])
     flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1
-    files = Columns(folder, cap)
+    shift = int(size.max(initial=0)).bit_length()
+    files = Columns(folder, np.int32 if n << shift < 1 << 31 else np.int64)
     left = size.copy()  # symbols of each text not inserted yet
     before = np.zeros(n, np.uint16)
     before[size > 0] = flat[begin[1:][size > 0] - 1]
-    files.write("bwt", before)
-    files.write("lcp", np.zeros(n, np.uint8))
-    files.write("suffix", np.arange(n) << 32 | size)
+    files.write(before, np.zeros(n, np.uint8), np.arange(n) << shift | size)
     at = np.arange(n)  # where each text's longest suffix so far stands
     while (live := np.flatnonzero(left > 0)).size:
-        bwt, lcp = files.read("bwt"), files.read("lcp")
+        bwt, lcp, suffix = files.read()
         order = np.argsort(bwt, kind="stable")
         none = int(np.searchsorted(bwt[order], 1))
         rank = np.empty(len(bwt), np.int64)
@@ -209,17 +217,17 @@ def sort_suffixes(texts: list[bytes], cap: int, folder: str) -> tuple[np.ndarray
         prefix[to] = 0
         prefix[to[has_prev]] = least(prev[has_prev], p[has_prev])
         prefix[to[has_next] + 1] = least(p[has_next], follow[has_next])
-        for what, new in (("bwt", symbol), ("suffix", live << 32 | left[live])):
-            old = files.read(what)
+        grown = []
+        for old, new in ((bwt, symbol), (suffix, live << shift | left[live])):
             values = np.empty(len(fresh), old.dtype)
             values[~fresh] = old
             values[to] = new
-            files.write(what, values)
-        files.write("lcp", prefix)
+            grown.append(values)
+        files.write(grown[0], prefix, grown[1])
         # suffixes that stood before stay in order; the live texts move to their new suffix
         at[live] = to
-    suffix = files.read("suffix")
-    return suffix >> 32, suffix & 0xFFFFFFFF, files.read("lcp")
+    _, lcp, suffix = files.read()
+    return suffix >> shift, suffix & ((1 << shift) - 1), lcp
 
 
 def repeated_strings(texts: list[bytes], order: np.ndarray, length: int, folder: str) -> tuple[np.ndarray, np.ndarray]:
@@ -287,6 +295,20 @@ def compare_strings(rows: DataFrame, length: int) -> DataFrame:
         "t", F.col("s").alias("first"), F.col("s").alias("last"))
 
 
+def similar_contexts(heads: DataFrame, length: int) -> DataFrame:
+    """The contexts that share, with another of their anchor, the anchor and what a string must have before or after it.
+
+    A string holds its anchor and length - GRAM further bytes, so half of them stand on one side.
+    """
+    half = (length - GRAM) // 2
+    before = F.when(F.col("lead") >= half, F.expr(f"xxhash64(1, substring(bytes, lead - {half} + 1, {half + GRAM}))"))
+    after = F.when(F.col("last") - F.col("first") >= F.col("lead") - half, F.expr(f"xxhash64(2, substring(bytes, lead + 1, {half + GRAM}))"))
+    sides = stored(heads.select("name", "same", F.explode(F.array(before, after)).alias("side")).where(F.col("side").isNotNull()), "sides")
+    shared = stored(sides.groupBy("name", "side").agg(F.count("*").alias("n")).where("n > 1").select("name", "side"), "shared_sides")
+    kept = sides.join(shared, ["name", "side"]).select("name", "same").distinct()
+    return heads.join(kept, ["name", "same"], "left_semi")
+
+
 def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     """t, ranges: of string starts that go, of the representative of each text."""
     found = stored(occurrences(docs, length), "occurrences")
@@ -296,6 +318,7 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     many = stored(firsts.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"), "many")
     heads = firsts.join(many, "name").select("name", "same", "one.*", "n")
     heads = stored(found.join(heads, ["name", "same", "o", "t", "first"]).dropDuplicates(["name", "same"]), "heads")
+    heads = stored(similar_contexts(heads, length), "similar")
     parts = [later, compare_contexts(heads.where(F.col("n") <= ANCHOR_CONTEXTS), length),
              compare_strings(heads.where(F.col("n") > ANCHOR_CONTEXTS), length)]
     ranges = parts[0].unionByName(parts[1]).unionByName(parts[2])
