@@ -1,6 +1,5 @@
 """Report and exploration parameters used by the registered queries."""
 
-from clickmart.functions.columns import ALL_EVENT_LABELS
 from clickmart.sources.feeds import session_id_for
 
 REPORT_START = "2024-01-08 00:00:00"
@@ -10,8 +9,7 @@ TOP_IPS = 5
 JOURNEY_SESSION = session_id_for(7, 1)
 DETAIL_IP = "10.0.0.7"
 CAMPAIGNS = ("campaign_0", "campaign_1")
-SOURCES = ("facebook", "google", "bing")
-EVENT_LABELS = ALL_EVENT_LABELS
+SOURCES = ("facebook", "google", "bing")  # of the derived feed: the columns its oracle expects
 
 # Membership selections for the filter reports (None selects NULL as well).
 FILTER_EVENTS = ("add product", "go cart", "confirmation payment", None)

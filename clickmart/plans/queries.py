@@ -214,8 +214,9 @@ def _r10(k: Lake):
 
 @register("report_source_pivot")
 def _r11(k: Lake):
-    return report.source_pivot(k.marts["click_conversion_rates_hourly"], P.SOURCES,
-                               P.REPORT_START, P.REPORT_END)
+    # the range is stored: the pivot first lists its sources, then sums
+    kept = report.date_range(k.marts["click_conversion_rates_hourly"], P.REPORT_START, P.REPORT_END)
+    return report.source_pivot(kept.checkpoint(), None, P.REPORT_START, P.REPORT_END)
 
 
 @register("report_users_by_source")
@@ -265,7 +266,7 @@ def _json_roundtrip(k: Lake, feeds) -> dict[str, DataFrame]:
         path = f"{base}/{feed}"
         ingest.write_json_feed(k.feeds[feed], path)
         out[feed] = ingest.read_json_feed(spark, f"{path}/*.json", feed, keep_corrupt=False).drop(
-            ingest.LOAD_HOUR)
+            ingest.LOAD_HOUR, ingest.DELIVERY)
     return out
 
 

@@ -10,16 +10,20 @@ Files are read with the feed's explicit schema (by name: key order does not
 matter, unknown keys are ignored, malformed lines land in ``_corrupt_record``),
 ids are normalised to lower-case UUID text and every row carries the
 ``load_hour`` it was delivered for. Raw tables are partitioned by
-``load_hour`` and written with dynamic partition overwrite, so re-running an
-hour replaces that hour instead of appending it twice.
+``(load_hour, delivery)``, a delivery being one file: loading a file again
+replaces what it brought before, and two files of one hour stand side by side.
+Lines that cannot be read, and files whose name holds no hour, go to
+``{feed}_rejected`` with the reason.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import io
+import re
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +34,9 @@ from clickmart.functions import normalise_uuid
 from clickmart.sources import schemas
 
 LOAD_HOUR = "load_hour"
+DELIVERY = "delivery"
+# 2024-01-01 05:00:00, 2024-01-01T05:00:00Z; 0 to 6 digits of a second
+TIMESTAMPS = "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSS]['Z']"
 
 
 # ---- hour addressing (I4) ----------------------------------------------------
@@ -70,21 +77,28 @@ def _hour_from_landing_name(name_col) -> F.Column:
 
 
 # ---- path existence (I5) ---------------------------------------------------
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    matches = fs.globStatus(p)
-    return matches is not None and len(matches) > 0
+def listing(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Path and size of every file that matches the pattern, by one call to the file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return {f.getPath().toString(): f.getLen() for f in found or ()}
+
+
+def _tail(path: str, parts: int) -> str:
+    return "/".join(path.split("/")[-parts:])
 
 
 def existing(spark: SparkSession, paths: Iterable[str]) -> tuple[list[str], list[str]]:
-    """Split paths into (present, missing): a missing hour is skipped, not an error."""
-    present, missing = [], []
-    for p in paths:
-        (present if _fs_exists(spark, p) else missing).append(p)
-    return present, missing
+    """Split paths into (present, missing): a missing hour is skipped, not an error.
+
+    The paths' hive or landing layout is listed once for all hours.
+    """
+    paths = list(paths)
+    patterns = {re.sub(r"=\d+(?=/)", "=*", re.sub(r"[^/]*-H\d\d\.jsonl$", "*.jsonl", p)): p.count("/") for p in paths}
+    there = {(n, _tail(f, 5)) for pattern, n in patterns.items() for f in listing(spark, pattern)}
+    present = [p for p in paths if "*" in p and listing(spark, p) or (p.count("/"), _tail(p, 5)) in there]
+    kept = set(present)
+    return present, [p for p in paths if p not in kept]
 
 
 # ---- writing landing-style JSON lines (tests, replays) ----------------------
@@ -112,22 +126,29 @@ def read_json_feed(spark: SparkSession, paths: str | Sequence[str], feed: str,
     df = (spark.read.schema(schema)
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", schemas.CORRUPT_COLUMN)
-          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+          .option("timestampNTZFormat", TIMESTAMPS)
           .json(paths))
-    df = df.withColumn(LOAD_HOUR, _hour_from_landing_name(F.col("_metadata.file_name")))
+    df = df.withColumns({LOAD_HOUR: _hour_from_landing_name(F.col("_metadata.file_name")),
+                         DELIVERY: F.col("_metadata.file_name")})
     df = _normalise(df, feed)
-    return df if keep_corrupt else df.drop(schemas.CORRUPT_COLUMN)
+    return df if keep_corrupt else df.where(F.col(schemas.CORRUPT_COLUMN).isNull()).drop(schemas.CORRUPT_COLUMN)
+
+
+def _readable(feed: str) -> F.Column:
+    """Not NULL, and made from all columns: a scan that is asked for some of
+    them does not look at the others, and would miss a bad field there."""
+    return F.to_json(F.struct(*[f.name for f in schemas.FEED_SCHEMAS[feed].fields]))
 
 
 def feed_counts(spark: SparkSession, root: str) -> DataFrame:
-    """I2 / E2 over files: rows per feed across all landing files of each feed."""
+    """I2 / E2 over files: readable rows per feed across all landing files of each feed."""
     parts = []
     for feed in schemas.FEEDS:
         glob = f"{root.rstrip('/')}/data/{feed}/*.jsonl"
         if not existing(spark, [glob])[0]:
             continue
-        df = read_json_feed(spark, glob, feed)
-        parts.append(df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(feed).alias("source"), "cnt"))
+        df = read_json_feed(spark, glob, feed, keep_corrupt=False)
+        parts.append(df.agg(F.count(_readable(feed)).alias("cnt")).select(F.lit(feed).alias("source"), "cnt"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -177,8 +198,9 @@ def read_zipped_feed(spark: SparkSession, paths: str | Sequence[str], feed: str)
         "path",
         F.from_json("value", schema, {"mode": "PERMISSIVE",
                                       "columnNameOfCorruptRecord": schemas.CORRUPT_COLUMN,
-                                      "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}).alias("r"))
-    df = parsed.select("r.*", _hour_from_source_path(F.col("path")).alias(LOAD_HOUR))
+                                      "timestampNTZFormat": TIMESTAMPS}).alias("r"))
+    df = parsed.select("r.*", _hour_from_source_path(F.col("path")).alias(LOAD_HOUR),
+                       F.element_at(F.split("path", "/"), -1).alias(DELIVERY))
     return _normalise(df, feed)
 
 
@@ -191,25 +213,28 @@ def _hour_from_source_path(path_col) -> F.Column:
 
 
 # ---- load report (I6) and raw tables (I7, I9, I10) ---------------------------
-REPORT_SCHEMA = ("feed string, load_hour timestamp_ntz, status string, path string, "
+REPORT_SCHEMA = ("feed string, load_hour timestamp_ntz, status string, path string, size long, "
                  "rows long, corrupt_rows long, parsed_rows long")
 
 
-def load_report(df: DataFrame, feed: str) -> DataFrame:
-    """Rows, malformed rows and rows with a parsed first column per delivered
-    hour of one feed (the last also keeps a data column in the scan, which raw
-    JSON scans require next to the corrupt-record column)."""
+def load_counts(df: DataFrame, feed: str) -> DataFrame:
+    """Rows, malformed rows and rows with a parsed first column per delivery of one feed."""
     first = schemas.FEED_SCHEMAS[feed].fields[0].name
-    return (df.groupBy(LOAD_HOUR)
+    return (df.groupBy(LOAD_HOUR, DELIVERY)
             .agg(F.count(F.lit(1)).alias("rows"),
                  F.count(schemas.CORRUPT_COLUMN).alias("corrupt_rows"),
-                 F.count(first).alias("parsed_rows"))
-            .select(F.lit(feed).alias("feed"), LOAD_HOUR, F.lit("loaded").alias("status"),
-                    F.lit(None).cast("string").alias("path"), "rows", "corrupt_rows", "parsed_rows"))
+                 F.count(F.when(_readable(feed).isNotNull(), F.col(first))).alias("parsed_rows")))
+
+
+def load_report(df: DataFrame, feed: str) -> DataFrame:
+    """``load_counts`` as report rows."""
+    return load_counts(df, feed).select(
+        F.lit(feed).alias("feed"), LOAD_HOUR, F.lit("loaded").alias("status"), F.col(DELIVERY).alias("path"),
+        F.lit(None).cast("long").alias("size"), "rows", "corrupt_rows", "parsed_rows")
 
 
 def skipped_report(spark: SparkSession, feed: str, missing: Sequence[tuple[dt.datetime, str]]) -> DataFrame:
-    return spark.createDataFrame([(feed, h, "skipped", p, 0, 0, 0) for h, p in missing], REPORT_SCHEMA)
+    return spark.createDataFrame([(feed, h, "skipped", p, None, 0, 0, 0) for h, p in missing], REPORT_SCHEMA)
 
 
 def create_layers(spark: SparkSession, databases: Sequence[str] = ("raw", "stage", "mart")) -> None:
@@ -219,27 +244,44 @@ def create_layers(spark: SparkSession, databases: Sequence[str] = ("raw", "stage
 
 
 def create_raw_tables(spark: SparkSession, db: str = "raw") -> None:
-    """The four raw tables, partitioned by delivery hour."""
+    """The four raw tables and their rejects, partitioned by hour and delivery."""
     create_layers(spark, [db])
+    by = f"{LOAD_HOUR} TIMESTAMP_NTZ, {DELIVERY} STRING) USING parquet PARTITIONED BY ({LOAD_HOUR}, {DELIVERY})"
     for feed, schema in schemas.FEED_SCHEMAS.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{feed} ({schemas.ddl(schema)}, "
-                  f"{LOAD_HOUR} TIMESTAMP_NTZ) USING parquet PARTITIONED BY ({LOAD_HOUR})")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{feed} ({schemas.ddl(schema)}, {by}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{feed}_rejected (line STRING, reason STRING, {by}")
+
+
+def _replace(df: DataFrame, table: str) -> None:
+    """Insert by name, replacing the partitions that ``df`` has rows of."""
+    cols = df.sparkSession.table(table).columns
+    df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
 
 
 def write_raw(df: DataFrame, feed: str, db: str = "raw") -> None:
-    """Insert parsed rows into ``raw.{feed}`` by name, replacing only the
-    delivered hours (dynamic partition overwrite: a retry does not duplicate).
-    Malformed lines are not inserted (they are counted in the load report)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    good = df.where(F.col(schemas.CORRUPT_COLUMN).isNull()) if schemas.CORRUPT_COLUMN in df.columns else df
-    cols = [f.name for f in schemas.FEED_SCHEMAS[feed].fields] + [LOAD_HOUR]
-    good.select(*cols).write.insertInto(f"{db}.{feed}", overwrite=True)
+    """Insert parsed rows into ``raw.{feed}`` by name, replacing only their
+    own deliveries (a retry does not duplicate, another file of the hour stays).
+    Lines that cannot be read and rows of files without an hour in their name
+    go to ``raw.{feed}_rejected``."""
+    names = [f.name for f in schemas.FEED_SCHEMAS[feed].fields]
+    bad, nowhere = F.col(schemas.CORRUPT_COLUMN), F.col(LOAD_HOUR).isNull()
+    _replace(df.where(bad.isNull() & ~nowhere).select(*names, LOAD_HOUR, DELIVERY), f"{db}.{feed}")
+    line = F.coalesce(bad, F.to_json(F.struct(*names)))
+    reason = F.when(bad.isNotNull(), "unreadable line").otherwise("no hour in the file name")
+    _replace(df.where(bad.isNotNull() | nowhere).select(line.alias("line"), reason.alias("reason"), LOAD_HOUR, DELIVERY),
+             f"{db}.{feed}_rejected")
+
+
+def drop_deliveries(spark: SparkSession, table: str, deliveries: Iterable[tuple[dt.datetime, str]]) -> None:
+    """Remove what earlier loads of these deliveries brought."""
+    for hour, name in deliveries:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
+                  f"({LOAD_HOUR} = TIMESTAMP_NTZ '{hour:%Y-%m-%d %H:%M:%S}', {DELIVERY} = '{name}')")
 
 
 def read_raw(spark: SparkSession, db: str = "raw") -> dict[str, DataFrame]:
     """The raw feeds as stored (I12 for the raw layer)."""
-    return {feed: spark.table(f"{db}.{feed}").drop(LOAD_HOUR) for feed in schemas.FEEDS}
+    return {feed: spark.table(f"{db}.{feed}").drop(LOAD_HOUR, DELIVERY) for feed in schemas.FEEDS}
 
 
 def catalog_listing(spark: SparkSession) -> DataFrame:
@@ -249,32 +291,49 @@ def catalog_listing(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "database string, table string")
 
 
+def _ingest_feed(spark: SparkSession, root: str, feed: str, hours: Sequence[dt.datetime], layout: str, db: str) -> list[tuple]:
+    """Load one feed; report rows."""
+    if layout == "landing":
+        wanted = {landing_path(root, feed, h): h for h in hours}
+        sizes = listing(spark, f"{root.rstrip('/')}/data/{feed}/*.jsonl")
+    else:
+        wanted = {source_path(root, feed, h, zipped=(layout == "zip")): h for h in hours}
+        sizes = listing(spark, f"{root.rstrip('/')}/year=*/month=*/day=*/hour=*/{feed}.jsonl*")
+    sizes = {_tail(p, 5): n for p, n in sizes.items()}
+    present = {p: h for p, h in wanted.items() if _tail(p, 5) in sizes}
+    out = [(feed, h, "skipped", p, None, 0, 0, 0) for p, h in wanted.items() if p not in present]
+    if present:
+        df = (read_zipped_feed(spark, list(present), feed) if layout == "zip"
+              else read_json_feed(spark, list(present), feed))
+        if layout == "source":
+            df = df.withColumn(LOAD_HOUR, _hour_from_source_path(F.col("_metadata.file_path")))
+        write_raw(df, feed, db)
+        counts = {(r[LOAD_HOUR], r[DELIVERY]): r for r in load_counts(df, feed).collect()}
+        for table, field in ((feed, lambda r: r["rows"] - r["corrupt_rows"]), (f"{feed}_rejected", lambda r: r["corrupt_rows"])):
+            drop_deliveries(spark, f"{db}.{table}", [
+                (h, _tail(p, 1)) for p, h in present.items()
+                if (h, _tail(p, 1)) not in counts or not field(counts[h, _tail(p, 1)])])
+        for p, h in present.items():
+            r = counts.get((h, _tail(p, 1)))
+            out.append((feed, h, "loaded", p, sizes[_tail(p, 5)],
+                        *((r["rows"], r["corrupt_rows"], r["parsed_rows"]) if r else (0, 0, 0))))
+    return out
+
+
 def ingest_hours(spark: SparkSession, root: str, hours: Sequence[dt.datetime], layout: str = "landing",
-                 db: str = "raw") -> DataFrame:
-    """Load the given hours of all four feeds into the raw tables in one job per
-    feed (not one per hour); missing feed-hours are skipped and reported.
-    Returns the load report (feed, load_hour, status, path, rows, corrupt_rows)."""
+                 db: str = "raw", consume: bool = False) -> DataFrame:
+    """Load the given hours of all four feeds into the raw tables, one job per
+    feed (not one per hour) and the feeds side by side; missing feed-hours are
+    skipped and reported. An hour delivered again replaces what it brought
+    before, even if it is empty now. ``consume`` removes the loaded files.
+    Returns the load report (feed, load_hour, status, path, size, rows,
+    corrupt_rows, parsed_rows), one row per feed and hour."""
     create_raw_tables(spark, db)
-    reports = []
-    for feed in schemas.FEEDS:
-        if layout == "landing":
-            wanted = [(h, landing_path(root, feed, h)) for h in hours]
-        else:
-            wanted = [(h, source_path(root, feed, h, zipped=(layout == "zip"))) for h in hours]
-        present, _ = existing(spark, [p for _, p in wanted])
-        missing = [(h, p) for h, p in wanted if p not in set(present)]
-        if present:
-            df = (read_zipped_feed(spark, present, feed) if layout == "zip"
-                  else read_json_feed(spark, present, feed))
-            if layout == "source":
-                df = df.withColumn(LOAD_HOUR, _hour_from_source_path(F.col("_metadata.file_path")))
-            df = df.persist()
-            try:
-                write_raw(df, feed, db)
-                reports.append(load_report(df, feed).collect())
-            finally:
-                df.unpersist()
-        if missing:
-            reports.append(skipped_report(spark, feed, missing).collect())
-    rows = [tuple(r) for part in reports for r in part]
+    with ThreadPoolExecutor(len(schemas.FEEDS)) as pool:
+        parts = list(pool.map(lambda feed: _ingest_feed(spark, root, feed, hours, layout, db), schemas.FEEDS))
+    rows = [r for part in parts for r in part]
+    if consume:
+        for path in [r[3] for r in rows if r[2] == "loaded"]:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
     return spark.createDataFrame(rows, REPORT_SCHEMA)

@@ -3,9 +3,10 @@
 A file-source stream over ``{root}/data/{feed}/`` with the feed schema,
 triggered with ``availableNow``: every run picks up exactly the files that
 arrived since the last run (tracked in the checkpoint), writes them to the
-raw table through ``foreachBatch`` (dynamic overwrite of the delivered hours,
-so a replayed batch after a failure replaces rather than duplicates), then
-stops. ``clean_source="delete"`` removes consumed files like the hourly
+raw table through ``foreachBatch`` (dynamic overwrite of the delivered files,
+so a replayed batch after a failure replaces rather than duplicates, and other
+files of the same hour stay), then stops. Unreadable lines and files without
+an hour in their name are kept in ``{feed}_rejected``. ``clean_source="delete"`` removes consumed files like the hourly
 loader did; ``"archive"`` moves them to ``archive_dir``.
 
 No stateful operator is involved: the hourly grain needs no watermark, and
@@ -27,7 +28,7 @@ def landing_stream(spark: SparkSession, root: str, feed: str, clean_source: str
     reader = (spark.readStream.schema(schema)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", schemas.CORRUPT_COLUMN)
-              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+              .option("timestampNTZFormat", ingest.TIMESTAMPS)
               .option("pathGlobFilter", "*.jsonl")
               .option("cleanSource", clean_source))
     if archive_dir:
@@ -35,7 +36,8 @@ def landing_stream(spark: SparkSession, root: str, feed: str, clean_source: str
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.json(f"{root.rstrip('/')}/data/{feed}/")
-    df = df.withColumn(ingest.LOAD_HOUR, ingest._hour_from_landing_name(F.col("_metadata.file_name")))
+    name = F.col("_metadata.file_name")
+    df = df.withColumns({ingest.LOAD_HOUR: ingest._hour_from_landing_name(name), ingest.DELIVERY: name})
     return ingest._normalise(df, feed)
 
 
@@ -59,5 +61,7 @@ def ingest_available(spark: SparkSession, root: str, feeds=schemas.FEEDS, db: st
              .trigger(availableNow=True)
              .start())
         q.awaitTermination()
+        for table in (feed, f"{feed}_rejected"):  # the batches wrote through a session of their own
+            spark.catalog.refreshTable(f"{db}.{table}")
         batches[feed] = len(q.recentProgress)
     return batches
