@@ -8,11 +8,14 @@ exactly as in bag-semantics SQL.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.functions import epoch_micros, is_confirmation, is_product
-from clickmart.operators.prefix import DEFAULT_BUCKET_US, strictly_earlier
+from clickmart.operators.prefix import DEFAULT_BUCKETS, strictly_earlier
+from clickmart.session import cut
 
 MARKETING = ("referer_url", "referer_medium", "utm_medium", "utm_source",
              "utm_content", "utm_campaign")
@@ -88,7 +91,7 @@ def transitions_basic(browser: DataFrame, location: DataFrame) -> DataFrame:
 
 
 def purchases(browser: DataFrame, location: DataFrame,
-              bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+              bucket_us: int | Sequence[int] = DEFAULT_BUCKETS) -> DataFrame:
     """Products bought at each confirmation.
 
     Visiting a ``/product_*`` page puts one item in the cart, a
@@ -103,7 +106,7 @@ def purchases(browser: DataFrame, location: DataFrame,
        confirmations of the session (0 if none).
 
     Both "strictly earlier" steps are range frames (micros, -1), never a
-    self-join; rows with a NULL session or time skip them (prior = 0).
+    self-join; rows with a NULL session or time see nothing earlier (prior = 0).
     """
     b = browser.select(F.col("click_id").alias("session_id"), "event_id", "event_timestamp")
     l = (location.select("event_id", "page_url_path")
@@ -111,50 +114,48 @@ def purchases(browser: DataFrame, location: DataFrame,
     return purchases_from_events(b.join(l, "event_id"), bucket_us)
 
 
-def purchases_from_events(joined: DataFrame, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+def purchases_from_events(joined: DataFrame, bucket_us: int | Sequence[int] = DEFAULT_BUCKETS) -> DataFrame:
     """S5 from browser-location joined rows (session_id, event_id,
     event_timestamp, page_url_path), e.g. a materialised transitions table.
 
     Tied rows (same session and micros) share every "strictly earlier" frame,
     so each step first collapses the rows to distinct (session, micros) keys
     with a map-side-combined aggregate, runs the running aggregate over those
-    keys only (``strictly_earlier``: split by time bucket, so one session never
-    fills a task) and joins the result back. Copies of one event -- however
-    many -- therefore never meet in one window partition; the joins back are
-    plain equi-joins that AQE splits when one key is hot.
+    keys only (``strictly_earlier``: split by nested time buckets, so one session
+    never fills a task) and joins the result back. A row with a NULL session or
+    time gets a key of its own, made of its event_id, and time 0: nothing is
+    earlier there, and no NULL group forms. The plan is cut at the base rows,
+    at their keys and at the cumulated counts: each is evaluated once.
     """
     l_ok = is_product("page_url_path") | is_confirmation("page_url_path")
-    ev = (joined.where(l_ok)
-          .select(F.col("session_id").alias("click_id"), "event_id", "event_timestamp",
-                  is_product("page_url_path").cast("long").alias("is_product"),
-                  is_confirmation("page_url_path").alias("is_conf"),
-                  epoch_micros("event_timestamp").alias("us")))
-    valid = F.col("click_id").isNotNull() & F.col("us").isNotNull()
-    key = ["click_id", "us"]
+    us = epoch_micros("event_timestamp")
+    valid = F.col("session_id").isNotNull() & us.isNotNull()
+    ev = cut(joined.where(l_ok).select(
+        "session_id", "event_id", "event_timestamp",
+        F.when(valid, F.concat(F.lit("s"), "session_id")).otherwise(F.concat(F.lit("e"), "event_id")).alias("who"),
+        F.when(valid, us).otherwise(F.lit(0).cast("long")).alias("us"),
+        is_product("page_url_path").cast("long").alias("is_product"),
+        is_confirmation("page_url_path").alias("is_conf")), "purchase-events")
+    key = ["who", "us"]
 
     # 1. products strictly before each (session, time) that has a confirmation
-    at_key = (ev.where(valid).groupBy(*key)
-              .agg(F.sum("is_product").alias("p"), F.max(F.col("is_conf").cast("int")).alias("c")))
-    before = (strictly_earlier(at_key, "click_id", "us", "p", "sum", "n_prior", bucket_us)
+    at_key = cut(ev.groupBy(*key).agg(F.sum("is_product").alias("p"),
+                                      F.max(F.col("is_conf").cast("int")).alias("c")), "purchase-keys")
+    before = (strictly_earlier(at_key, "who", "us", "p", "sum", "n_prior", bucket_us)
               .where("c = 1")
               .select(*key, F.greatest(F.lit(1).cast("long"), F.col("n_prior")).alias("n")))
-    conf_cols = ["click_id", "event_id", "event_timestamp", "us"]
-    conf_rows = ev.where("is_conf").select(*conf_cols)
-    conf = (conf_rows.where(valid).join(before, key)
-            .unionByName(conf_rows.where(~valid).withColumn("n", F.lit(1).cast("long"))))
+    conf = ev.where("is_conf").select("session_id", "event_id", "event_timestamp", *key).join(before, key)
 
     # 2. per (event_id, time): sum of n, attached to every confirmation with that id
+    conf = cut(conf, "purchase-confirmations")
     pc = (conf.groupBy("event_id", F.col("event_timestamp").alias("pc_ts"))
           .agg(F.sum("n").alias("product_count")).drop("pc_ts"))
-    cum = conf.select(*conf_cols).join(pc, "event_id")
+    cum = cut(conf.drop("n").join(pc, "event_id"), "purchase-counts")
 
     # 3. minus the greatest cumulative count of strictly earlier confirmations
-    top = cum.where(valid).groupBy(*key).agg(F.max("product_count").alias("m"))
-    prior = (strictly_earlier(top, "click_id", "us", "m", "max", "prior_max", bucket_us)
+    top = cum.groupBy(*key).agg(F.max("product_count").alias("m"))
+    prior = (strictly_earlier(top, "who", "us", "m", "max", "prior_max", bucket_us)
              .select(*key, "prior_max"))
-    done = (cum.where(valid).join(prior, key)
-            .select(F.col("click_id").alias("session_id"), "event_timestamp",
-                    (F.col("product_count") - F.coalesce("prior_max", F.lit(0))).alias("product_count")))
-    rest = cum.where(~valid).select(F.col("click_id").alias("session_id"), "event_timestamp",
-                                    "product_count")
-    return done.unionByName(rest)
+    return cum.join(prior, key).select(
+        "session_id", "event_timestamp",
+        (F.col("product_count") - F.coalesce("prior_max", F.lit(0))).alias("product_count"))

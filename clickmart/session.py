@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Session time zone is pinned so that anything
 # rendered through TIMESTAMP (LTZ) is stable; the operators themselves only use
@@ -63,3 +65,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared folder."""
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back: what follows is
+    planned from the stored rows, which outlive any executor."""
+    path = scratch_path(df.sparkSession, "cut", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

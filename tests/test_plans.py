@@ -58,3 +58,48 @@ def test_purchases_uses_range_windows_not_nested_loops(spark):
 def test_no_quadratic_join_operators(spark, name):
     txt = plan_text(E.queries()[name](spark, SF), "simple")
     assert "CartesianProduct" not in txt and "NestedLoopJoin" not in txt
+
+
+def _count(txt: str, *names: str) -> int:
+    return sum(line.lstrip(" :+-*0123456789()").startswith(names) for line in txt.splitlines())
+
+
+def _initial(df) -> str:
+    txt = plan_text(df, "simple")
+    return txt.split("== Initial Plan ==")[-1]
+
+
+def test_purchases_plan_reads_and_shuffles_little(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        txt = _initial(Lake.from_dir(spark, SF).stage["purchases"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert _count(txt, "FileScan", "Scan") <= 4 and _count(txt, "Exchange") <= 14, txt
+
+
+def test_event_distribution_shuffles_each_feed_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        txt = _initial(Lake.from_dir(spark, SF).marts["events_distribution_hourly"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert _count(txt, "Exchange") <= 7, txt  # one per feed, two session aggregates and their join, the result
+
+
+def test_hot_session_is_split_by_minute(spark):
+    """60 % of the rows are one session within one hour: buckets stay small, results equal one window."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from clickmart.operators.prefix import DEFAULT_BUCKETS, MINUTE_US, strictly_earlier
+
+    df = spark.range(10_000).select(
+        F.when(F.col("id") < 6000, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("k"),
+        F.when(F.col("id") < 6000, F.col("id") * 600_000).otherwise(F.col("id") * MINUTE_US * 7).alias("us"),
+        (F.col("id") % 3).alias("v"))
+    assert DEFAULT_BUCKETS[0] == MINUTE_US
+    assert df.groupBy("k", F.expr(f"us div {MINUTE_US}")).count().agg(F.max("count")).first()[0] == 100
+    w = Window.partitionBy("k").orderBy("us").rangeBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("o", F.coalesce(F.sum("v").over(w), F.lit(0)))
+    assert strictly_earlier(df, "k", "us", "v", "sum", "o").select("k", "us", "v", "o").exceptAll(want).count() == 0
