@@ -117,6 +117,12 @@ def _normalise(df: DataFrame, feed: str) -> DataFrame:
     return df.select([normalise_uuid(c).alias(c) if c in ids else F.col(c) for c in df.columns])
 
 
+def _readable(feed: str) -> F.Column:
+    """Not NULL, and made from all columns: a scan that is asked for some of
+    them does not look at the others, and would miss a bad field there."""
+    return F.to_json(F.struct(*[f.name for f in schemas.FEED_SCHEMAS[feed].fields]))
+
+
 def read_json_feed(spark: SparkSession, paths: str | Sequence[str], feed: str,
                    keep_corrupt: bool = True) -> DataFrame:
     """JSON-lines file(s) or glob(s) of one feed, explicit schema, by name.
@@ -131,13 +137,8 @@ def read_json_feed(spark: SparkSession, paths: str | Sequence[str], feed: str,
     df = df.withColumns({LOAD_HOUR: _hour_from_landing_name(F.col("_metadata.file_name")),
                          DELIVERY: F.col("_metadata.file_name")})
     df = _normalise(df, feed)
-    return df if keep_corrupt else df.where(F.col(schemas.CORRUPT_COLUMN).isNull()).drop(schemas.CORRUPT_COLUMN)
-
-
-def _readable(feed: str) -> F.Column:
-    """Not NULL, and made from all columns: a scan that is asked for some of
-    them does not look at the others, and would miss a bad field there."""
-    return F.to_json(F.struct(*[f.name for f in schemas.FEED_SCHEMAS[feed].fields]))
+    return df if keep_corrupt else df.where(
+        F.col(schemas.CORRUPT_COLUMN).isNull() & _readable(feed).isNotNull()).drop(schemas.CORRUPT_COLUMN)
 
 
 def feed_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -148,7 +149,7 @@ def feed_counts(spark: SparkSession, root: str) -> DataFrame:
         if not existing(spark, [glob])[0]:
             continue
         df = read_json_feed(spark, glob, feed, keep_corrupt=False)
-        parts.append(df.agg(F.count(_readable(feed)).alias("cnt")).select(F.lit(feed).alias("source"), "cnt"))
+        parts.append(df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(feed).alias("source"), "cnt"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
