@@ -145,11 +145,12 @@ class Columns:
     """A collection's transform, common prefixes and suffix numbers in a file; a round reads one and writes the next."""
 
     def __init__(self, folder: str, number: type):
-        self.path = Path(folder, "columns")
+        self.file = open(Path(folder, "columns"), "w+b")  # never shorter than the round before, so opened once
         self.kinds = (np.uint16, np.uint8, number)
 
     def read(self) -> list[np.ndarray]:
-        data = self.path.read_bytes()
+        self.file.seek(0)
+        data = self.file.read()
         n = len(data) // sum(np.dtype(k).itemsize for k in self.kinds)
         out, at = [], 0
         for k in self.kinds:
@@ -158,9 +159,9 @@ class Columns:
         return out
 
     def write(self, *values: np.ndarray) -> None:
-        with open(self.path, "wb") as f:
-            for v, k in zip(values, self.kinds, strict=True):
-                f.write(np.ascontiguousarray(v, k).data)
+        self.file.seek(0)
+        for v, k in zip(values, self.kinds, strict=True):
+            self.file.write(np.ascontiguousarray(v, k).data)
 
 
 def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -198,11 +199,11 @@ def sort_suffixes(texts: list[bytes], cap: int, folder: str) -> tuple[np.ndarray
     while (live := np.flatnonzero(left > 0)).size:
         bwt, lcp, suffix = files.read()
         order = np.argsort(bwt, kind="stable")
-        none = int(np.searchsorted(bwt[order], 1))
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(bwt))
+        none = len(bwt) - int(np.count_nonzero(bwt))
+        rank = np.empty(len(bwt), np.int32)
+        rank[order] = np.arange(len(bwt), dtype=np.int32)
         p = at[live]
-        k = rank[p]
+        k = rank[p].astype(np.int64)
         to = n + k - none
         prev, follow = order[np.maximum(k - 1, 0)], order[np.minimum(k + 1, len(order) - 1)]
         has_prev = (k > none) & (bwt[prev] == bwt[p])
@@ -211,8 +212,9 @@ def sort_suffixes(texts: list[bytes], cap: int, folder: str) -> tuple[np.ndarray
         fresh = np.zeros(len(bwt) + len(live), bool)
         fresh[to] = True
         symbol = np.where(left[live] > 0, flat[np.maximum(begin[live] + left[live] - 1, 0)], 0)
+        stay = np.flatnonzero(~fresh)
         prefix = np.zeros(len(fresh), np.uint8)
-        prefix[~fresh] = lcp
+        prefix[stay] = lcp
         least = lambda a, b: np.minimum(_range_least(lcp, a + 1, b).astype(np.int64) + 1, cap)
         prefix[to] = 0
         prefix[to[has_prev]] = least(prev[has_prev], p[has_prev])
@@ -220,13 +222,14 @@ def sort_suffixes(texts: list[bytes], cap: int, folder: str) -> tuple[np.ndarray
         grown = []
         for old, new in ((bwt, symbol), (suffix, live << shift | left[live])):
             values = np.empty(len(fresh), old.dtype)
-            values[~fresh] = old
+            values[stay] = old
             values[to] = new
             grown.append(values)
         files.write(grown[0], prefix, grown[1])
         # suffixes that stood before stay in order; the live texts move to their new suffix
         at[live] = to
     _, lcp, suffix = files.read()
+    files.file.close()
     return suffix >> shift, suffix & ((1 << shift) - 1), lcp
 
 
