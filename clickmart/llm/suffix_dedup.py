@@ -8,16 +8,16 @@ earlier (smaller doc_id, or the same document at an earlier byte).
    one, are found by a partial aggregate; other strings cannot repeat.
 2. Neighbouring strings of one anchor form a context (at most 2 * LENGTH - GRAM
    bytes). Equal contexts are collapsed by an aggregate: all but the first go.
-3. Different contexts of one anchor are compared by their suffixes, if they
-   agree in the anchor and half of the rest on one side of it (equal strings
-   do). A task
-   takes a collection of contexts (whole anchors, at most COLLECTION) and
-   builds its Burrows-Wheeler transform and common prefixes column by column:
-   each round inserts one symbol of every context, reading the last round's
-   files in sequence and writing the next. Strings with a common prefix of
-   LENGTH are equal; all but the first go.
+3. Different contexts of one anchor are compared by their suffixes. A task
+   takes a collection of contexts (whole anchors, about COLLECTION), lines them
+   up by their anchors and builds the transform and common prefixes column by
+   column: each round inserts one symbol of every context, reading the last
+   round's file in sequence and writing the next. Strings with a common prefix
+   of LENGTH are equal; all but the first go.
 4. An anchor with more than ANCHOR_CONTEXTS different contexts would be too
-   much for one task; its strings are grouped by their own digest instead.
+   much for one task; its strings are grouped by their own digest instead, of
+   contexts that agree with another in the anchor and half of the rest on one
+   side of it (equal strings do).
 
 Copies of a whole text are represented by the one of least doc_id; the others
 lose all bytes if they have LENGTH of them.
@@ -44,7 +44,7 @@ from clickmart.llm.words import U, _bytes_names, mix, spans_names
 
 LENGTH = 100
 GRAM = 24
-COLLECTION = 4096
+COLLECTION = 8192
 ANCHOR_CONTEXTS = 2048
 POSITION = U(31)  # low bits that hold a position where hash and position share a word
 LAST = (1 << 63) - 1
@@ -142,25 +142,26 @@ def occurrences(docs: DataFrame, length: int) -> DataFrame:
 
 
 class Columns:
-    """A collection's transform, common prefixes and suffix numbers in a file; a round reads one and writes the next."""
+    """The newest column of a collection's transform in a file: symbols, common prefixes, texts. A round reads it and writes the next."""
 
-    def __init__(self, folder: str, number: type):
-        self.file = open(Path(folder, "columns"), "w+b")  # never shorter than the round before, so opened once
-        self.kinds = (np.uint16, np.uint8, number)
+    KINDS = (np.uint16, np.uint16, np.int32)
+
+    def __init__(self, folder: str):
+        self.file = open(Path(folder, "columns"), "w+b")  # every round is as long, so opened once
 
     def read(self) -> list[np.ndarray]:
         self.file.seek(0)
         data = self.file.read()
-        n = len(data) // sum(np.dtype(k).itemsize for k in self.kinds)
+        n = len(data) // sum(np.dtype(k).itemsize for k in self.KINDS)
         out, at = [], 0
-        for k in self.kinds:
+        for k in self.KINDS:
             out.append(np.frombuffer(data, k, n, at))
             at += out[-1].nbytes
         return out
 
     def write(self, *values: np.ndarray) -> None:
         self.file.seek(0)
-        for v, k in zip(values, self.kinds, strict=True):
+        for v, k in zip(values, self.KINDS, strict=True):
             self.file.write(np.ascontiguousarray(v, k).data)
 
 
@@ -177,101 +178,79 @@ def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nd
     return out
 
 
-def sort_suffixes(texts: list[bytes], cap: int, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, start and common prefix with the one before (up to cap) of all suffixes in order.
+def sort_columns(texts: list[bytes], leads: np.ndarray, cap: int, folder: str):
+    """Per round, from the last column to the first: column, texts in order, common prefix with the one before (up to cap).
 
-    Round r inserts the suffix of length r of every text that has one. The
-    place of a new suffix follows from the transform: symbol c before the
-    suffix at p leads to the rank of (c, p) among all symbols. Its common
-    prefix is one more than the least between p and the next equal symbol.
+    The texts stand one below the other with their anchors (``leads`` bytes
+    from each start) in column 0. A round inserts the symbol that each text
+    has in the next column to the left: the stable order of these symbols in
+    the transform is the order of the longer suffixes, and a common prefix is
+    one more than the least between two equal symbols. Suffixes of different
+    columns are never compared, as equal strings hold their anchor at the
+    same place. A text without a symbol in a column stands first, with
+    common prefix 0.
     """
     n = len(texts)
-    size = np.array([len(t) for t in texts], np.int64)
-    begin = np.concatenate([[0], np.cumsum(size)])
-    flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1
-    shift = int(size.max(initial=0)).bit_length()
-    files = Columns(folder, np.int32 if n << shift < 1 << 31 else np.int64)
-    left = size.copy()  # symbols of each text not inserted yet
-    before = np.zeros(n, np.uint16)
-    before[size > 0] = flat[begin[1:][size > 0] - 1]
-    files.write(before, np.zeros(n, np.uint8), np.arange(n) << shift | size)
-    at = np.arange(n)  # where each text's longest suffix so far stands
-    while (live := np.flatnonzero(left > 0)).size:
-        bwt, lcp, suffix = files.read()
+    size = np.fromiter(map(len, texts), np.int64, n)
+    left = int(leads.max(initial=0))
+    width = left + int((size - leads).max(initial=0))
+    of = np.repeat(np.arange(n), size)
+    within = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    symbols = np.zeros((width + 1, n), np.uint16)  # row 0: none, before the first column
+    symbols[1 + left - leads[of] + within, of] = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1
+    files = Columns(folder)
+    files.write(symbols[width], np.zeros(n), np.arange(n))
+    for c in range(width, 0, -1):
+        bwt, lcp, text = files.read()
         order = np.argsort(bwt, kind="stable")
-        none = len(bwt) - int(np.count_nonzero(bwt))
-        rank = np.empty(len(bwt), np.int32)
-        rank[order] = np.arange(len(bwt), dtype=np.int32)
-        p = at[live]
-        k = rank[p].astype(np.int64)
-        to = n + k - none
-        prev, follow = order[np.maximum(k - 1, 0)], order[np.minimum(k + 1, len(order) - 1)]
-        has_prev = (k > none) & (bwt[prev] == bwt[p])
-        has_next = (k + 1 < len(order)) & (bwt[follow] == bwt[p])
-        left[live] -= 1
-        fresh = np.zeros(len(bwt) + len(live), bool)
-        fresh[to] = True
-        symbol = np.where(left[live] > 0, flat[np.maximum(begin[live] + left[live] - 1, 0)], 0)
-        stay = np.flatnonzero(~fresh)
-        prefix = np.zeros(len(fresh), np.uint8)
-        prefix[stay] = lcp
-        least = lambda a, b: np.minimum(_range_least(lcp, a + 1, b).astype(np.int64) + 1, cap)
-        prefix[to] = 0
-        prefix[to[has_prev]] = least(prev[has_prev], p[has_prev])
-        prefix[to[has_next] + 1] = least(p[has_next], follow[has_next])
-        grown = []
-        for old, new in ((bwt, symbol), (suffix, live << shift | left[live])):
-            values = np.empty(len(fresh), old.dtype)
-            values[stay] = old
-            values[to] = new
-            grown.append(values)
-        files.write(grown[0], prefix, grown[1])
-        # suffixes that stood before stay in order; the live texts move to their new suffix
-        at[live] = to
-    _, lcp, suffix = files.read()
+        symbol, text = bwt[order], text[order]
+        prefix = np.zeros(n, np.int64)
+        equal = np.flatnonzero((symbol[1:] == symbol[:-1]) & (symbol[1:] > 0)) + 1
+        prefix[equal] = np.minimum(_range_least(lcp, order[equal - 1] + 1, order[equal]).astype(np.int64) + 1, cap)
+        files.write(symbols[c - 1][text], prefix, text)
+        yield c - 1 - left, text, prefix
     files.file.close()
-    return suffix >> shift, suffix & ((1 << shift) - 1), lcp
 
 
-def repeated_strings(texts: list[bytes], order: np.ndarray, length: int, folder: str) -> tuple[np.ndarray, np.ndarray]:
-    """Text and start of every string of ``length`` that equals one of lower order; order: of text and start, n x width."""
-    text, start, prefix = sort_suffixes(texts, length, folder)
-    size = np.array([len(t) for t in texts], np.int64)
-    kind = np.cumsum(prefix < length)
-    whole = start + length <= size[text]
-    text, start, kind = text[whole], start[whole], kind[whole]
-    if not len(text):
-        return text, start
-    rank = order[text] + start
-    first = np.flatnonzero(np.diff(kind, prepend=-1))
-    least = np.minimum.reduceat(rank, first)
-    gone = rank > np.repeat(least, np.diff(np.append(first, len(kind))))
-    return text[gone], start[gone]
+def repeated_strings(texts: list[bytes], leads: np.ndarray, order: np.ndarray, length: int, folder: str) -> tuple[np.ndarray, np.ndarray]:
+    """Text and start of every string of ``length`` that equals one of lower order; order + start: place in the corpus."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for c, text, prefix in sort_columns(texts, leads, length, folder):
+        first = np.flatnonzero(prefix < length)
+        if c > 0 or len(first) == len(text):  # a string starts at its anchor or before
+            continue
+        start = leads[text] + c
+        rank = order[text] + start
+        least = np.minimum.reduceat(rank, first)
+        gone = rank > np.repeat(least, np.diff(np.append(first, len(text))))
+        found.append((text[gone], start[gone]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def compare_contexts(rows: DataFrame, length: int) -> DataFrame:
     """t, first, last: string starts that repeat an earlier string; rows: different contexts, dealt by name."""
     def collections(frames):
-        held: list[pd.DataFrame] = []
-        n = 0
+        """Frames of whole anchors: about COLLECTION contexts each, and one anchor more at most."""
+        held = None
         for pdf in frames:
-            for _, own in pdf.groupby("name", sort=False):
-                if held and held[-1]["name"].iloc[0] != own["name"].iloc[0] and n + len(own) > COLLECTION:
-                    yield pd.concat(held)
-                    held, n = [], 0
-                held.append(own)
-                n += len(own)
-        if held:
-            yield pd.concat(held)
+            for lo in range(0, len(pdf), COLLECTION):
+                part = pdf.iloc[lo:lo + COLLECTION]
+                held = part if held is None else pd.concat([held, part])
+                name = held["name"].to_numpy()
+                ends = np.flatnonzero(name[1:] != name[:-1]) + 1
+                if len(ends):
+                    yield held.iloc[:ends[-1]]
+                    held = held.iloc[ends[-1]:]
+        if held is not None:
+            yield held
 
     def run(frames):
         for pdf in collections(frames):
-            pdf = pdf.sort_values(["o", "t", "first"], kind="stable").reset_index(drop=True)
             # places in (o, t, byte) order; equal documents are apart by their rank, far enough for any start
             doc = pdf.groupby(["o", "t"], sort=True).ngroup().to_numpy().astype(np.int64)
             at = (doc << 40) + pdf["first"].to_numpy()
             with tempfile.TemporaryDirectory() as folder:
-                text, start = repeated_strings(pdf["bytes"].tolist(), at, length, folder)
+                text, start = repeated_strings(pdf["bytes"].tolist(), pdf["lead"].to_numpy().astype(np.int64), at, length, folder)
             order = np.lexsort((start, text))
             text, start = text[order], start[order]
             new = np.ones(len(text), bool)
@@ -283,8 +262,8 @@ def compare_contexts(rows: DataFrame, length: int) -> DataFrame:
                                 "last": (base + start[b]).astype(np.int32)})
 
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(tasks, "name").sortWithinPartitions("name", "o", "t", "first")
-    return dealt.select("name", "o", "t", "first", "bytes").mapInPandas(run, "t long, first int, last int")
+    dealt = rows.repartition(tasks, "name").sortWithinPartitions("name")
+    return dealt.select("name", "o", "t", "first", "lead", "bytes").mapInPandas(run, "t long, first int, last int")
 
 
 def compare_strings(rows: DataFrame, length: int) -> DataFrame:
@@ -321,9 +300,8 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     many = stored(firsts.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"), "many")
     heads = firsts.join(many, "name").select("name", "same", "one.*", "n")
     heads = stored(found.join(heads, ["name", "same", "o", "t", "first"]).dropDuplicates(["name", "same"]), "heads")
-    heads = stored(similar_contexts(heads, length), "similar")
     parts = [later, compare_contexts(heads.where(F.col("n") <= ANCHOR_CONTEXTS), length),
-             compare_strings(heads.where(F.col("n") > ANCHOR_CONTEXTS), length)]
+             compare_strings(similar_contexts(heads.where(F.col("n") > ANCHOR_CONTEXTS), length), length)]
     ranges = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return ranges.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
 
