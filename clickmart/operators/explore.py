@@ -38,8 +38,8 @@ def source_counts(feeds: dict[str, DataFrame]) -> DataFrame:
 def session_journey(browser: DataFrame, location: DataFrame, session_id: str) -> DataFrame:
     """One session's clicks with page and marketing columns, in time order.
 
-    The session filter runs before the join; AQE sees the (runtime) size of the
-    filtered side and can broadcast it instead of shuffling the location feed.
+    The session filter runs before the join. The location feed is still read
+    and shuffled in full: AQE picks a broadcast only after both map stages.
     """
     b = (browser.where(F.col("click_id") == session_id)
          .select("click_id", "event_id", "event_timestamp", "browser_name"))

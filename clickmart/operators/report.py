@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions import isin_nullsafe
+from clickmart.session import cut
 
 TimeLike = str | dt.datetime | dt.date
 
@@ -39,32 +40,41 @@ def default_range(today: dt.date | None = None) -> tuple[dt.date, dt.date]:
     return today - dt.timedelta(days=7), today
 
 
+def _bounds(start: TimeLike | None, end: TimeLike | None) -> tuple[Column, Column]:
+    """Both ends of a range; the default range where one is not given."""
+    if start is None or end is None:
+        d_start, d_end = default_range()
+        start = d_start if start is None else start
+        end = d_end if end is None else end
+    return _ts(start), _ts(end)
+
+
 def date_range(df: DataFrame, start: TimeLike | None = None, end: TimeLike | None = None,
                col: str = "date_part") -> DataFrame:
     """``start <= col <= end`` (inclusive; with midnight bounds the last day
     contributes only its 00:00 hour). A plain range predicate, so it reaches
     the parquet scan of a stored mart."""
-    if start is None or end is None:
-        d_start, d_end = default_range()
-        start = d_start if start is None else start
-        end = d_end if end is None else end
-    return df.where(F.col(col).between(_ts(start), _ts(end)))
+    return df.where(F.col(col).between(*_bounds(start, end)))
 
 
 def distinct_values(events: DataFrame, campaigns: DataFrame, users_segments: DataFrame,
                     start: TimeLike | None = None, end: TimeLike | None = None) -> DataFrame:
     """R2: filter options as (field, value) rows, NULL kept as a value.
     os/device/browser come from the whole events mart, events and campaigns from
-    the date-filtered marts, sources from the user segments."""
+    the date-filtered marts, sources from the user segments. The events mart is
+    read once, its options exploded from each row."""
     ev_range = date_range(events, start, end)
-    parts = [(events, "os_name"), (events, "device_type"), (events, "browser_name"),
-             (ev_range, "event"), (date_range(campaigns, start, end), "utm_campaign"),
-             (users_segments, "utm_source")]
-    out = None
-    for df, c in parts:
-        p = df.select(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")).distinct()
-        out = p if out is None else out.unionByName(p)
-    return out
+    pair = lambda c: F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"))
+    lo, hi = _bounds(start, end)
+    options = F.array(pair("os_name"), pair("device_type"), pair("browser_name"),
+                      F.when(F.col("date_part").between(lo, hi), pair("event")))
+    parts = [events.select(F.explode(options).alias("option")).where(F.col("option").isNotNull()).select("option.*"),
+             date_range(campaigns, start, end).select(pair("utm_campaign").alias("option")).select("option.*"),
+             users_segments.select(pair("utm_source").alias("option")).select("option.*")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
 
 
 def multi_filter(df: DataFrame, **selected: Sequence | None) -> DataFrame:
@@ -145,8 +155,11 @@ def top_products(products: DataFrame, n: int = 10) -> DataFrame:
 
 
 def _with_share(df: DataFrame, value: str) -> DataFrame:
-    """Percent of the column total, one decimal (grouped input: a few rows)."""
-    total = F.sum(value).over(Window.partitionBy())
+    """Percent of the column total, one decimal. The groups are stored, the
+    total is a partial aggregate over them and a scalar to each of them; no
+    task holds all groups."""
+    df = cut(df, f"share-{value}")
+    total = df.agg(F.sum(value)).scalar()
     return df.withColumn("share", F.round(F.lit(100.0) * F.col(value) / total, 1))
 
 

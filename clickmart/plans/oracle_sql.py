@@ -332,6 +332,16 @@ SELECT (SELECT CAST(coalesce(sum(cnt), 0) AS BIGINT) FROM m_events) AS total_eve
 }
 
 BODIES["ingest_json_feed_counts"] = BODIES["explore_source_counts"]
+BODIES["ingest_raw_counts"] = BODIES["explore_source_counts"]
+BODIES["pipeline_campaign_purchases"] = BODIES["mart_campaign_purchases_hourly"]
+BODIES["pipeline_mart_counts"] = """
+SELECT 'campaign_purchase_analysis_hourly' AS source, count(*) AS cnt FROM m_campaigns
+UNION ALL SELECT 'click_conversion_rates_hourly', count(*) FROM m_sources
+UNION ALL SELECT 'events_distribution_hourly', count(*) FROM m_events
+UNION ALL SELECT 'purchased_products_count_hourly', count(*) FROM m_sales
+UNION ALL SELECT 'top_performing_products', count(*) FROM m_products
+UNION ALL SELECT 'users_segments_agg', count(*) FROM m_users
+UNION ALL SELECT 'users_purchases_segments_agg', count(*) FROM m_users_purchases"""
 
 _PREFIX = "WITH " + ",".join([FEEDS, STAGE, MARTS]) + "\n"
 

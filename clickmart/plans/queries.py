@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickmart.operators import explore, marts, report, stage
 from clickmart.plans import params as P
+from clickmart.plans import pipeline
 from clickmart.plans.lake import Lake
 from clickmart.session import scratch_path
 from clickmart.sources import ingest, schemas
@@ -280,3 +282,44 @@ def _i2(k: Lake):
 def _i1(k: Lake):
     """The location feed read back from JSON lines, by name."""
     return _json_roundtrip(k, ["location_events"])["location_events"]
+
+
+def _scratch_db() -> str:
+    """A database name of its own for each call, so that calls do not overwrite each other."""
+    import uuid
+    return f"clickmart_{uuid.uuid4().hex}"
+
+
+@register("ingest_raw_counts")
+def _i7(k: Lake):
+    """Every feed is delivered to the raw tables twice from JSON
+    lines; a repeated delivery replaces itself. Rows per raw table."""
+    import uuid
+    spark = k.browser.sparkSession
+    db, base = _scratch_db(), scratch_path(spark, "ingest-raw", uuid.uuid4().hex)
+    ingest.create_raw_tables(spark, db)
+    for feed in schemas.FEEDS:
+        ingest.write_json_feed(k.feeds[feed], f"{base}/{feed}")
+        delivered = ingest.read_json_feed(spark, f"{base}/{feed}/*.json", feed).withColumn(
+            ingest.LOAD_HOUR, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        for _ in range(2):
+            ingest.write_raw(delivered, feed, db)
+    return explore.source_counts(ingest.read_raw(spark, db))
+
+
+@register("pipeline_mart_counts")
+def _p3(k: Lake):
+    """Stage and mart tables are built and stored; rows per stored mart."""
+    spark = k.browser.sparkSession
+    stage_db, mart_db = _scratch_db(), _scratch_db()
+    pipeline.build_marts(spark, pipeline.build_stage(spark, k.feeds, stage_db), db=mart_db)
+    return explore.source_counts(pipeline.load_marts(spark, mart_db, cache=False))
+
+
+@register("pipeline_campaign_purchases")
+def _p3_campaigns(k: Lake):
+    """The campaign mart, read from the table that the pipeline stored."""
+    spark = k.browser.sparkSession
+    stage_db, mart_db = _scratch_db(), _scratch_db()
+    pipeline.build_marts(spark, pipeline.build_stage(spark, k.feeds, stage_db), db=mart_db)
+    return pipeline.load_marts(spark, mart_db, cache=False)["campaign_purchase_analysis_hourly"]
