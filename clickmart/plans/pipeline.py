@@ -11,15 +11,15 @@
 
 Full rebuilds (like the definition): a late click can change the attribution
 of its session and every later purchase row of that session, so partial
-per-hour refreshes would be wrong. Each table is written with
-``saveAsTable(mode="overwrite")``; writing a table is also what cuts the
-lineage between layers, so a lost executor only recomputes from the last
-written table.
+per-hour refreshes would be wrong. Each table is written anew and a view is
+then pointed at it; writing a table is also what cuts the lineage between
+layers, so a lost executor only recomputes from the last written table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,10 +34,28 @@ MART_TABLES = ("campaign_purchase_analysis_hourly", "click_conversion_rates_hour
                "top_performing_products", "users_segments_agg", "users_purchases_segments_agg")
 
 
+VERSION = "__v"  # between a table's name and the time it was written
+
+
 def _save(df: DataFrame, name: str) -> DataFrame:
-    """Replace table ``name`` with ``df`` and return the stored table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Replace ``name`` with ``df`` and return the stored table.
+
+    The rows go to a table of their own version, then the view ``name`` is
+    pointed at it: a failed write leaves the old rows readable, and readers
+    never find a gap. The replaced version stays for those who still read it;
+    the ones before it go.
+    """
+    spark = df.sparkSession
+    db, table = name.split(".")
+    version = f"{db}.{table}{VERSION}{time.time_ns():020d}"
+    df.write.format("parquet").saveAsTable(version)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # a table from before there were versions
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    versions = sorted(t.name for t in spark.catalog.listTables(db, f"{table}{VERSION}*"))
+    for old in versions[:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS {db}.{old}")
+    return spark.table(version)
 
 
 def build_stage(spark: SparkSession, raw: Mapping[str, DataFrame], db: str = "stage") -> dict[str, DataFrame]:
