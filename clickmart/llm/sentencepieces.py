@@ -37,6 +37,7 @@ MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 TAIL = re.compile(r"(?<=[^\W_])\W+$")
 CACHE_WORDS = 600_000
+CACHE_CHARS = 20_000_000  # a text without blanks is one word
 REPORT = "doc_id long, n_words long, n_pieces long, n_byte_pieces long, ids_sha256 string, round_trip boolean"
 
 
@@ -69,6 +70,7 @@ class Encoder:
         self.after: dict[str, dict[str, bool]] = {p: {} for p in self.ids}  # piece: may it follow that piece?
         self.joined = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}  # neighbours inside some piece
         self.words: dict[str, bytes] = {}
+        self.held = 0  # characters of the words, at least
 
     def merged(self, text: str) -> list[str]:
         """The model's merges, best score first and leftmost, on a short string."""
@@ -93,7 +95,7 @@ class Encoder:
         return np.array([self.byte[b] for b in char.encode("utf-8", "replace")], "<i4").tobytes()
 
     def forward(self, word: str, last: list[str], ids: list[bytes], start: int) -> None:
-        """Fills last[i], the last piece of word[:i], and ids[i], its packed pieces, for i over ``start``."""
+        """Fills last[i], the last piece of word[:i], and ids[i], that piece packed, for i over ``start``."""
         del last[start + 1:], ids[start + 1:]
         after = self.after
         for i in range(start + 1, len(word) + 1):
@@ -105,31 +107,42 @@ class Encoder:
                 fits = known.get(last[k])
                 if fits or fits is None and self.follows(last[k], piece):
                     last.append(piece)
-                    ids.append(ids[k] + self.packed[piece])
+                    ids.append(self.packed[piece])
                     break
             else:
                 last.append(word[i - 1])
-                ids.append(ids[i - 1] + self.unknown(word[i - 1]))
+                ids.append(self.unknown(word[i - 1]))
+
+    @staticmethod
+    def path(last: list[str], ids: list[bytes]) -> bytes:
+        """The packed pieces of the whole word, walked back from its end."""
+        found, i = [], len(last) - 1
+        while i:
+            found.append(ids[i])
+            i -= len(last[i])
+        return b"".join(reversed(found))
 
     def learn(self, words: set[str]) -> None:
         """Adds the pieces of new words, in trie order.
 
         Closing punctuation is cut off first where no piece can span the cut.
         """
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > CACHE_WORDS or self.held > CACHE_CHARS:
             self.words.clear()
+            self.held = 0
         new, cuts = words - self.words.keys(), {}
         for word in new:
             if not word[-1].isalnum() and (m := TAIL.search(word)) and word[m.start() - 1:m.start() + 1] not in self.joined:
                 cuts[word] = m.start()
         heads = new.difference(cuts) | {w[:c] for w, c in cuts.items()} | {w[c:] for w, c in cuts.items()}
+        self.held += sum(map(len, new)) + sum(map(len, heads))
         last, ids, before = [""], [b""], ""
         for word in sorted(heads - self.words.keys()):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             self.forward(word, last, ids, shared)
-            self.words[word] = ids[-1]
+            self.words[word] = self.path(last, ids)
             before = word
         for word, c in cuts.items():
             self.words[word] = self.words[word[:c]] + self.words[word[c:]]
