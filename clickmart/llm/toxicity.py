@@ -2,13 +2,13 @@
 
 A bounded sample of labelled rows (SAMPLE_PER_CLASS of each class, by a hash)
 is the example set; labels are learned only from rows outside the held-out
-fold. Terms are words and word beginnings; the vocabulary holds the terms that
-go with the label in the sample (at most MAX_TERMS). Document frequencies of
-these terms are counted over all documents. Examples become TF-IDF vectors of
-length one and are filed in blocks; for each term the index holds its largest
-weight in every block. A query bounds each block's best cosine from these,
-reads blocks from the highest bound down, and stops when no block can reach
-its k-th neighbour, so its neighbours are those of an exhaustive search.
+fold. Terms are words and word beginnings, and every term of every example is
+in the vocabulary. A term weighs its inverse document frequency, counted over
+all documents, times z of its share in toxic against clean examples where that
+is over 1: no term is left out, and a word too rare to be judged keeps its
+plain weight. Texts become TF-IDF vectors whose length takes all their terms;
+those of no example count as held by this document alone. Each text is
+compared with all examples.
 
 Neighbours vote with their similarity; votes are turned into probabilities by
 an isotonic fit on the sample (each example without itself, classes weighted
@@ -25,12 +25,11 @@ counts; repeated rows return once each; other columns are ignored (or kept by
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,108 +37,151 @@ from clickmart.llm.common import column, slices, stored
 from clickmart.llm.decontaminate import FOLD
 
 SAMPLE_PER_CLASS = 6000
-MAX_TERMS = 4096
-MIN_Z = 5.0  # of a term's share in toxic against clean examples
-MIN_DOCS = 4  # toxic examples that hold the term
 BEGINNINGS = (4, 5)  # bytes
 NEIGHBOURS = 15
-BLOCK = 64  # examples
+BLOCK = 64  # texts compared at a time
+FREQUENT = 1024  # terms, those in most examples, are compared by matrices
+ROUNDING = 2e-4  # bounds the error of a sum of FREQUENT single-precision products, of the two scores compared
 SMOOTH = 0.5  # similarity that votes for clean
 REJECT = 0.3
 
 
-def terms(text: str | None) -> dict[str, int]:
-    """Counts of the words and of the beginnings of longer words."""
-    found: dict[str, int] = defaultdict(int)
-    for word, n in Counter((text or "").encode("utf-8", "replace").translate(FOLD).decode("latin-1").split(" ")).items():
-        if word:
-            found[word] += n
-            for k in BEGINNINGS:
-                if len(word) > k:
-                    found[word[:k] + "*"] += n
-    return found
-
-
-def known_terms(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
-    """Term numbers and counts of the text's terms that are in the vocabulary."""
-    found: dict[int, int] = defaultdict(int)
-    if text:
-        a, b = BEGINNINGS
-        get = vocabulary.get
-        for word, n in Counter(text.encode("utf-8", "replace").translate(FOLD).decode("latin-1").split(" ")).items():
-            if (i := get(word)) is not None:
-                found[i] += n
-            if len(word) > a and (i := get(word[:a] + "*")) is not None:
-                found[i] += n
-            if len(word) > b and (i := get(word[:b] + "*")) is not None:
-                found[i] += n
-    return found
+def term_counts(texts: pa.Array, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(row, term number, count) of the words and of the beginnings of longer words, sorted by row and term.
+
+    Terms out of the vocabulary are numbered after it, in the order of the returned list.
+    """
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2].to_pybytes()[ends[0]:ends[-1]] if len(texts) and ends[-1] > ends[0] else b""
+    folded = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(data.translate(FOLD))])
+    split = pc.split_pattern(folded, b" ")
+    words = split.flatten()
+    row = np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(split)))
+    full = np.asarray(pc.binary_length(words)) > 0
+    coded = words.filter(pa.array(full)).dictionary_encode()
+    new: dict[bytes, int] = {}
+    known, first = vocabulary.get, len(vocabulary)
+
+    def number(term: bytes) -> int:
+        i = known(term)
+        return first + new.setdefault(term, len(new)) if i is None else i
+
+    a, b = BEGINNINGS
+    numbers = np.array([(number(w), number(w[:a] + b"*") if len(w) > a else -1, number(w[:b] + b"*") if len(w) > b else -1)
+                        for w in coded.dictionary.to_pylist()], np.int64).reshape(-1, 3)[np.asarray(coded.indices)]
+    width = first + len(new)
+    key, n = np.unique((row[full][:, None] * width + numbers)[numbers >= 0], return_counts=True)
+    return key // max(width, 1), key % max(width, 1), n, list(new)
+
+
+def spread(ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the chosen lists' entries, list after list, and the lists' lengths."""
+    size = ends[which + 1] - ends[which]
+    return np.arange(size.sum()) + np.repeat(ends[which] - (np.cumsum(size) - size), size), size
 
 
 @dataclass
 class Model:
-    """Vocabulary, term weights, the blocked index of example vectors and the calibration."""
-
-    vocabulary: dict[str, int]
-    idf: np.ndarray
-    ids: np.ndarray  # of the examples
-    labels: np.ndarray
-    blocks: list[dict[int, tuple[np.ndarray, np.ndarray]]]  # term -> (places in the block, weights)
-    bounds: dict[int, tuple[np.ndarray, np.ndarray]]  # term -> (blocks, largest weights)
-    steps: np.ndarray  # calibration: raw vote
-    values: np.ndarray  # and probability
-
-    def vector(self, text: str | None) -> tuple[list[int], np.ndarray]:
-        found = known_terms(text, self.vocabulary)
-        own = sorted(found)
-        w = np.array([(1 + math.log(found[i])) * self.idf[i] for i in own])
-        return own, w / np.sqrt((w * w).sum()) if own else w
-
-    def neighbours(self, own: list[int], weights: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of highest cosine over 0, best first (ties: the earlier example)."""
-        bound = np.zeros(len(self.blocks))
-        for i, w in zip(own, weights.tolist(), strict=True):
-            if i in self.bounds:
-                at, most = self.bounds[i]
-                bound[at] += w * most
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) >= k and bound[b] < -best[-1][0] - 1e-9:
-                break
-            score, block = np.zeros(BLOCK), self.blocks[b]
-            for i, w in zip(own, weights.tolist(), strict=True):
-                if i in block:
-                    at, ws = block[i]
-                    score[at] += w * ws
-            for at in np.flatnonzero(score > (-best[-1][0] - 1e-9 if len(best) >= k else 0)).tolist():
-                if b * BLOCK + at != without:
-                    best.append((-round(float(score[at]), 9), b * BLOCK + at))
-            best = sorted(best)[:k]
-        return [(-s, e) for s, e in best]
+    """Vocabulary, term weights, the examples' vectors and their index by term, and the calibration.
+
+    Terms are numbered from the one in most examples to the rarest.
+    """
+
+    vocabulary: dict[bytes, int]
+    weight: np.ndarray  # of the terms
+    unseen: float  # weight of a term of no example
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of the examples
+    labels: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    rows: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # ends of the examples' vectors, after a 0
+    terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    lists: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # ends of the terms' lists, after a 0
+    places: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    impacts: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    frequent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))  # terms below FREQUENT x examples
+    steps: np.ndarray = field(default_factory=lambda: np.full(1, -1.0))  # calibration: raw vote
+    values: np.ndarray = field(default_factory=lambda: np.zeros(1))  # and probability
+
+    def index(self, ids: np.ndarray, labels: np.ndarray, size: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+        """Takes in the examples' vectors, ``size`` terms each."""
+        self.ids, self.labels, self.terms, self.weights = ids, labels, terms, weights
+        self.rows = np.append(0, np.cumsum(size)).astype(np.int64)
+        example, order = np.repeat(np.arange(len(size), dtype=np.int32), size), np.argsort(terms, kind="stable")
+        self.places, self.impacts = example[order], weights[order]
+        self.lists = np.append(0, np.cumsum(np.bincount(terms, minlength=len(self.weight)))).astype(np.int64)
+        self.frequent = np.zeros((min(FREQUENT, len(self.weight)), len(size)), np.float32)
+        often = terms < FREQUENT
+        self.frequent[terms[often], example[often]] = weights[often]
+
+    def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Terms and weights of every text; all its terms count in its length, those of the examples are returned."""
+        row, term, n, _ = term_counts(texts, self.vocabulary)
+        seen = term < len(self.weight)
+        w = (1 + np.log(n)) * np.append(self.weight, self.unseen)[np.minimum(term, len(self.weight))]
+        w = (w / np.sqrt(np.bincount(row, w * w, len(texts)))[row])[seen]
+        row, term = row[seen], term[seen]
+        at = np.searchsorted(row, np.arange(len(texts) + 1))
+        return [(term[x:y], w[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        return self.vectors(pa.array([text], pa.string()))[0]
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, without: list[int] | None = None):
+        """For each vector the k examples of highest cosine over 0, best first (ties: the earlier example).
+
+        All terms of all examples are added up, frequent ones as single-precision matrices; the examples that
+        rounding leaves in question are compared again in full, in double precision.
+        """
+        query = np.zeros(len(self.weight))
+        for lo in range(0, len(vectors), BLOCK):
+            block = vectors[lo:lo + BLOCK]
+            often = np.zeros((len(block), len(self.frequent)), np.float32)
+            cuts = [int(np.searchsorted(own, len(self.frequent))) for own, _ in block]
+            for i, ((own, w), cut) in enumerate(zip(block, cuts, strict=True)):
+                often[i, own[:cut]] = w[:cut]
+            scores = often @ self.frequent
+            for i, ((own, w), cut) in enumerate(zip(block, cuts, strict=True)):
+                at, size = spread(self.lists, own[cut:])
+                score = scores[i] + np.bincount(self.places[at], self.impacts[at] * np.repeat(w[cut:], size), len(self.ids))
+                if without is not None:
+                    score[without[lo + i]] = 0.0
+                least = np.partition(score, -k)[-k] if len(score) >= k else 0.0
+                kept = np.flatnonzero((score > 0) & (score >= least - ROUNDING))
+                at, size = spread(self.rows, kept)
+                query[own] = w
+                exact = np.round(np.bincount(np.repeat(np.arange(len(kept)), size), query[self.terms[at]] * self.weights[at], len(kept)), 9)
+                query[own] = 0.0
+                order = np.lexsort((kept, -exact))[:k]
+                yield [(s, e) for s, e in zip(exact[order].tolist(), kept[order].tolist(), strict=True) if s > 0]
+
+    def neighbours(self, own: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
+        return next(self.nearest([(own, weights)], k))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         total = sum(s for s, _ in near)
         return sum(s * self.labels[e] for s, e in near) / (total + SMOOTH)
 
     def calibrated(self, raw: float) -> float:
-        return float(self.values[np.searchsorted(self.steps, raw, "right") - 1]) if len(self.steps) else 0.0
+        return float(np.interp(raw, self.steps, self.values))
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        near = self.neighbours(*self.vector(text))
-        return self.calibrated(self.vote(near)), near
+    def scores(self, texts: pa.Array) -> list[tuple[float, list[tuple[float, int]]]]:
+        """Score and neighbours of every text."""
+        return [(self.calibrated(self.vote(x)), x) for x in self.nearest(self.vectors(texts))]
 
 
 def isotonic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Steps of the non-decreasing fit: the probability from each raw vote up."""
-    pools: list[list[float]] = []  # first raw, weight, weighted labels
+    """Ends of the level parts of the non-decreasing fit, raw votes and probabilities; between two parts it is a straight line."""
+    pools: list[list[float]] = []  # first raw, weight, weighted labels, last raw
     for x in np.unique(raw):
         own = raw == x
-        pools.append([float(x), float(weight[own].sum()), float((weight * label)[own].sum())])
+        pools.append([float(x), float(weight[own].sum()), float((weight * label)[own].sum()), float(x)])
         while len(pools) > 1 and pools[-2][2] * pools[-1][1] >= pools[-1][2] * pools[-2][1]:
-            _, w, y = pools.pop()
+            _, w, y, last = pools.pop()
+            pools[-1][3] = last
             pools[-1][1] += w
             pools[-1][2] += y
-    return np.array([-1.0, *[p[0] for p in pools[1:]]]), np.array([p[2] / p[1] for p in pools])
+    return np.array([x for p in pools for x in (p[0], p[3])]), np.repeat([p[2] / p[1] for p in pools], 2)
 
 
 def fold(doc_id: Column) -> Column:
@@ -158,80 +200,77 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[DataFra
     return stored(sample, "sample"), [count.get(0, 0), count.get(1, 0)]
 
 
-def _vocabulary(sample: DataFrame, n: list[int]) -> list[str]:
+def _vocabulary(sample: DataFrame, n: list[int]) -> tuple[list[bytes], np.ndarray]:
+    """All terms of the examples, from the one in most examples to the rarest, and z of their share in toxic against clean ones."""
     def run(batches):
         for batch in slices(batches):
-            seen = [Counter(), Counter()]
-            for text, toxic in zip(column(batch, "text").to_pylist(), column(batch, "toxic").to_pylist(), strict=True):
-                seen[toxic].update(terms(text).keys())
-            all_ = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(all_), *(pa.array([s[t] for t in all_], pa.int64()) for s in seen)],
-                                             names=["term", "clean", "toxic"])
-
-    share = (F.col("clean") + F.col("toxic")) / sum(n)
-    z = (F.col("toxic") / n[1] - F.col("clean") / n[0]) / F.sqrt(share * (1 - share + 1e-9) * (1 / n[0] + 1 / n[1]))
-    counts = sample.select("text", "toxic").mapInArrow(run, "term string, clean long, toxic long").groupBy("term").agg(
+            row, term, _, names = term_counts(column(batch, "text"), {})
+            toxic = np.bincount(term, column(batch, "toxic").to_numpy()[row], len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(np.bincount(term, minlength=len(names)) - toxic, pa.int64()),
+                                              pa.array(toxic, pa.int64())], names=["term", "clean", "toxic"])
+
+    counts = sample.select("text", "toxic").mapInArrow(run, "term binary, clean long, toxic long").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    top = counts.where(F.col("toxic") >= MIN_DOCS).select("term", z.alias("z")).where(F.col("z") >= MIN_Z)
-    return sorted(r["term"] for r in top.orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect())
+    found = counts.orderBy(F.desc(F.col("clean") + F.col("toxic")), "term").toArrow()
+    clean, toxic = found["clean"].to_numpy(), found["toxic"].to_numpy()
+    share = (clean + toxic) / sum(n)
+    return found["term"].to_pylist(), (toxic / n[1] - clean / n[0]) / np.sqrt(share * (1 - share + 1e-9) * (1 / n[0] + 1 / n[1]))
 
 
-def _frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
+def _frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray]:
     """The number of documents, and of documents with each term."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        v, total, rows = shared.value, Counter(), 0
+        v, rows = shared.value, 0
+        total = np.zeros(len(v), np.int64)
         for batch in slices(batches):
             rows += batch.num_rows
-            for text in column(batch, "text").to_pylist():
-                total.update(known_terms(text, v).keys())
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *total.keys()], pa.int32()), pa.array([rows, *total.values()], pa.int64())],
+            term = term_counts(column(batch, "text"), v)[1]
+            total += np.bincount(term[term < len(v)], minlength=len(v))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(total[at], rows), pa.int64())],
                                          names=["term", "n"])
 
-    found = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = found["term"].to_numpy(), found["n"].to_numpy()
     df = np.zeros(len(vocabulary))
-    n = 0
-    for r in found:
-        if r["term"] < 0:
-            n = r["n"]
-        else:
-            df[r["term"]] = r["n"]
-    return n, df
+    df[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), df
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
     sample, n = _sample(docs, labels, per_class)
-    empty = np.zeros(0)
     if not all(n):
-        base = np.array([1.0 if n[1] else 0.0])
-        return Model({}, empty, empty, empty, [], {}, np.array([-1.0]), base)
+        return Model({}, np.zeros(0), 1.0, values=np.array([1.0 if n[1] else 0.0]))
     used = [min(x, per_class) for x in n]
-    words = _vocabulary(sample, used)
+    words, z = _vocabulary(sample, used)
     vocabulary = {t: i for i, t in enumerate(words)}
     total, df = _frequencies(docs, vocabulary)
-    model = Model(vocabulary, np.log((1 + total) / (1 + df)) + 1, empty, empty, [], {}, empty, empty)
-
-    def run(frames):
-        for pdf in frames:
-            vectors = [model.vector(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "terms": [v[0] for v in vectors],
-                                "weights": [v[1].tolist() for v in vectors]})
-
-    rows = sample.mapInPandas(run, "doc_id long, toxic int, terms array<int>, weights array<double>").collect()
-    # neighbouring vectors share a block: the bounds are tight where a block's heaviest terms agree
-    rows = sorted(rows, key=lambda r: (not r["terms"], [t for _, t in sorted(zip(r["weights"], r["terms"], strict=True), reverse=True)], r["weights"]))
-    model.ids, model.labels = np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows])
-    bounds: dict[int, dict[int, float]] = defaultdict(dict)
-    for b in range(0, sum(bool(r["terms"]) for r in rows), BLOCK):
-        own: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        for at, r in enumerate(rows[b:b + BLOCK]):
-            for t, w in zip(r["terms"], r["weights"], strict=True):
-                own[t].append((at, w))
-                bounds[t][b // BLOCK] = max(w, bounds[t].get(b // BLOCK, 0.0))
-        model.blocks.append({t: (np.array([x for x, _ in p]), np.array([w for _, w in p])) for t, p in own.items()})
-    model.bounds = {t: (np.array(list(m)), np.array(list(m.values()))) for t, m in bounds.items()}
-    raw = np.array([model.vote(model.neighbours(r["terms"], np.array(r["weights"]), without=i)) for i, r in enumerate(rows)])
+    model = Model(vocabulary, (np.log((1 + total) / (1 + df)) + 1) * np.maximum(z, 1), math.log((1 + total) / 2) + 1)
+    context = docs.sparkSession.sparkContext
+    empty = context.broadcast(model)
+
+    def run(batches):
+        for batch in slices(batches):
+            vectors = empty.value.vectors(column(batch, "text"))
+            yield pa.RecordBatch.from_arrays(
+                [column(batch, "doc_id"), column(batch, "toxic"), pa.array([v[0] for v in vectors], pa.list_(pa.int32())),
+                 pa.array([v[1] for v in vectors], pa.list_(pa.float64()))], names=["doc_id", "toxic", "terms", "weights"])
+
+    rows = sample.mapInArrow(run, "doc_id long, toxic int, terms array<int>, weights array<double>").toArrow().sort_by("doc_id")
+    model.index(rows["doc_id"].to_numpy(), rows["toxic"].to_numpy(), pc.list_value_length(rows["terms"]).to_numpy(),
+                pc.list_flatten(rows["terms"]).to_numpy(), pc.list_flatten(rows["weights"]).to_numpy())
+    filled = context.broadcast(model)
+
+    def votes(batches):
+        m = filled.value
+        for batch in batches:
+            at = column(batch, "id").to_pylist()
+            near = m.nearest([(m.terms[m.rows[i]:m.rows[i + 1]], m.weights[m.rows[i]:m.rows[i + 1]]) for i in at], without=at)
+            yield pa.RecordBatch.from_arrays([column(batch, "id"), pa.array([m.vote(x) for x in near], pa.float64())], names=["id", "raw"])
+
+    raw = docs.sparkSession.range(len(model.ids)).mapInArrow(votes, "id long, raw double").toArrow().sort_by("id")["raw"].to_numpy()
     weight = np.array(n)[model.labels] / np.array(used)[model.labels]
     model.steps, model.values = isotonic(raw, model.labels, weight)
     return model
@@ -247,7 +286,7 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = Non
     def run(batches):
         model = shared.value
         for batch in slices(batches):
-            found = [model.score(t) for t in column(batch, "text").to_pylist()]
+            found = model.scores(column(batch, "text"))
             near = [[{"doc_id": int(model.ids[e]), "similarity": s, "toxic": int(model.labels[e])} for s, e in x] for _, x in found]
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "row"), column(batch, "text"), pa.array([s for s, _ in found], pa.float64()), pa.array(near, evidence)],
