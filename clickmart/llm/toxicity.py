@@ -25,6 +25,7 @@ counts; repeated rows return once each; other columns are ignored (or kept by
 from __future__ import annotations
 
 import math
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -44,6 +45,7 @@ FREQUENT = 1024  # terms, those in most examples, are compared by matrices
 ROUNDING = 2e-4  # bounds the error of a sum of FREQUENT single-precision products, of the two scores compared
 SMOOTH = 0.5  # similarity that votes for clean
 REJECT = 0.3
+PREPARED = ("weights", "places", "impacts", "lists", "frequent")
 
 
 def term_counts(texts: pa.Array, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
@@ -83,7 +85,7 @@ def spread(ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 @dataclass
 class Model:
-    """Vocabulary, term weights, the examples' vectors and their index by term, and the calibration.
+    """Vocabulary, term weights, the examples' terms and counts, and the calibration; ``prepare`` adds vectors and index.
 
     Terms are numbered from the one in most examples to the rarest.
     """
@@ -95,24 +97,36 @@ class Model:
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     rows: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # ends of the examples' vectors, after a 0
     terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    lists: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # ends of the terms' lists, after a 0
-    places: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    impacts: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    frequent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))  # terms below FREQUENT x examples
+    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     steps: np.ndarray = field(default_factory=lambda: np.full(1, -1.0))  # calibration: raw vote
     values: np.ndarray = field(default_factory=lambda: np.zeros(1))  # and probability
 
-    def index(self, ids: np.ndarray, labels: np.ndarray, size: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
-        """Takes in the examples' vectors, ``size`` terms each."""
-        self.ids, self.labels, self.terms, self.weights = ids, labels, terms, weights
-        self.rows = np.append(0, np.cumsum(size)).astype(np.int64)
-        example, order = np.repeat(np.arange(len(size), dtype=np.int32), size), np.argsort(terms, kind="stable")
-        self.places, self.impacts = example[order], weights[order]
-        self.lists = np.append(0, np.cumsum(np.bincount(terms, minlength=len(self.weight)))).astype(np.int64)
-        self.frequent = np.zeros((min(FREQUENT, len(self.weight)), len(size)), np.float32)
-        often = terms < FREQUENT
-        self.frequent[terms[often], example[often]] = weights[often]
+    def __getstate__(self) -> dict:
+        """What tasks are sent: the vectors as packed numbers and counts, without what ``prepare`` makes of them."""
+        state = {k: v for k, v in self.__dict__.items() if k not in PREPARED}
+        return state | {k: (state[k].dtype.str, zlib.compress(state[k].tobytes(), 1)) for k in ("terms", "counts")} | {"vocabulary": list(self.vocabulary)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.vocabulary = {t: i for i, t in enumerate(state["vocabulary"])}
+        for k in ("terms", "counts"):
+            setattr(self, k, np.frombuffer(zlib.decompress(state[k][1]), state[k][0]))
+
+    def prepare(self) -> None:
+        """Weights of the examples' vectors, and their index by term."""
+        if hasattr(self, "frequent"):
+            return
+        size = np.diff(self.rows)
+        example = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        w = (1 + np.log(self.counts)) * self.weight[self.terms]
+        self.weights = w / np.sqrt(np.bincount(example, w * w, len(size)))[example]
+        order = np.argsort(self.terms, kind="stable")
+        self.places, self.impacts = example[order], self.weights[order]
+        self.lists = np.append(0, np.cumsum(np.bincount(self.terms, minlength=len(self.weight)))).astype(np.int64)
+        often = self.terms < FREQUENT
+        frequent = np.zeros((min(FREQUENT, len(self.weight)), len(size)), np.float32)  # terms x examples
+        frequent[self.terms[often], example[often]] = self.weights[often]
+        self.frequent = frequent
 
     def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Terms and weights of every text; all its terms count in its length, those of the examples are returned."""
@@ -133,6 +147,7 @@ class Model:
         All terms of all examples are added up, frequent ones as single-precision matrices; the examples that
         rounding leaves in question are compared again in full, in double precision.
         """
+        self.prepare()
         query = np.zeros(len(self.weight))
         for lo in range(0, len(vectors), BLOCK):
             block = vectors[lo:lo + BLOCK]
@@ -233,6 +248,7 @@ def _frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np
                                          names=["term", "n"])
 
     found = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    shared.destroy()
     term, n = found["term"].to_numpy(), found["n"].to_numpy()
     df = np.zeros(len(vocabulary))
     df[term[term >= 0]] = n[term >= 0]
@@ -253,24 +269,29 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
 
     def run(batches):
         for batch in slices(batches):
-            vectors = empty.value.vectors(column(batch, "text"))
+            row, term, count, _ = term_counts(column(batch, "text"), empty.value.vocabulary)
+            ends = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), column(batch, "toxic"), pa.array([v[0] for v in vectors], pa.list_(pa.int32())),
-                 pa.array([v[1] for v in vectors], pa.list_(pa.float64()))], names=["doc_id", "toxic", "terms", "weights"])
-
-    rows = sample.mapInArrow(run, "doc_id long, toxic int, terms array<int>, weights array<double>").toArrow().sort_by("doc_id")
-    model.index(rows["doc_id"].to_numpy(), rows["toxic"].to_numpy(), pc.list_value_length(rows["terms"]).to_numpy(),
-                pc.list_flatten(rows["terms"]).to_numpy(), pc.list_flatten(rows["weights"]).to_numpy())
+                [column(batch, "doc_id"), column(batch, "toxic"), *(pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (term, count))],
+                names=["doc_id", "toxic", "terms", "counts"])
+
+    rows = sample.mapInArrow(run, "doc_id long, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("doc_id")
+    empty.destroy()
+    model.ids, model.labels = rows["doc_id"].to_numpy(), rows["toxic"].to_numpy()
+    model.rows = np.append(0, np.cumsum(pc.list_value_length(rows["terms"]).to_numpy())).astype(np.int64)
+    model.terms, model.counts = pc.list_flatten(rows["terms"]).to_numpy(), pc.list_flatten(rows["counts"]).to_numpy()
     filled = context.broadcast(model)
 
     def votes(batches):
         m = filled.value
+        m.prepare()
         for batch in batches:
             at = column(batch, "id").to_pylist()
             near = m.nearest([(m.terms[m.rows[i]:m.rows[i + 1]], m.weights[m.rows[i]:m.rows[i + 1]]) for i in at], without=at)
             yield pa.RecordBatch.from_arrays([column(batch, "id"), pa.array([m.vote(x) for x in near], pa.float64())], names=["id", "raw"])
 
     raw = docs.sparkSession.range(len(model.ids)).mapInArrow(votes, "id long, raw double").toArrow().sort_by("id")["raw"].to_numpy()
+    filled.destroy()
     weight = np.array(n)[model.labels] / np.array(used)[model.labels]
     model.steps, model.values = isotonic(raw, model.labels, weight)
     return model
