@@ -7,6 +7,7 @@ from clickmart.llm import (
     decontaminate,
     minhash,
     oracle,
+    periodic_runs,
     quality_rules,
     sentencepieces,
     substring_dedup,
@@ -63,8 +64,13 @@ def op10_sentencepieces(spark, sf_dir):
     return sentencepieces.report(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.report(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {f.__name__: f for f in (
-    op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op6_toxicity, op7_url_filter, op8_suffix_dedup, op9_minhash, op10_sentencepieces)}
+    op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op6_toxicity, op7_url_filter, op8_suffix_dedup, op9_minhash, op10_sentencepieces,
+    op13_periodic_runs)}
 
 ORACLE_SQL = {
     "op1_quality_rules": oracle.OP1,
