@@ -12,6 +12,7 @@ from clickmart.llm import (
     sentencepieces,
     substring_dedup,
     suffix_dedup,
+    token_alignment,
     toxicity,
     url_filter,
     warc,
@@ -64,13 +65,17 @@ def op10_sentencepieces(spark, sf_dir):
     return sentencepieces.report(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return periodic_runs.report(table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {f.__name__: f for f in (
     op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op6_toxicity, op7_url_filter, op8_suffix_dedup, op9_minhash, op10_sentencepieces,
-    op13_periodic_runs)}
+    op11_token_alignment, op13_periodic_runs)}
 
 ORACLE_SQL = {
     "op1_quality_rules": oracle.OP1,
