@@ -44,8 +44,8 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def slices(batches, text: str = "text"):
-    """Record batches cut so that each holds at most SLICE_BYTES of text (or one row)."""
+def slices(batches, text: str = "text", size: int = SLICE_BYTES):
+    """Record batches cut so that each holds at most ``size`` bytes of text (or one row)."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -54,7 +54,7 @@ def slices(batches, text: str = "text"):
         lo = 0
         while lo < batch.num_rows:
             base = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, base + SLICE_BYTES, "right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, base + size, "right")))
             yield batch.slice(lo, hi - lo)
             lo = hi
 

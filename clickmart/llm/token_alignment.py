@@ -20,8 +20,8 @@ the new shift.
 Links of a group are formed in chunks of LINKS; a group with more is folded to
 its distinct ids first.
 
-A text is tokenized whole in one task: about 140 bytes of memory a byte of text
-at peak; texts above SLICE_BYTES are handled alone.
+A text is tokenized whole in one task: about 70 bytes of memory a byte of text
+at peak; texts above PART_BYTES are handled alone.
 
 Defined results: null and empty texts, and those whose tokens do not give the
 bytes back (as of a text that holds U+2581), have no tokens and no groups; a
@@ -32,7 +32,7 @@ their own; empty tables return no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import uuid
 from array import array
 from collections.abc import Iterator
@@ -46,9 +46,12 @@ from pyspark.sql import functions as F
 from clickmart.llm.common import column, slices, stored
 
 HEAVY_PAIRS = 1 << 20
-LINKS = 1 << 20  # links formed at a time
-TASK_PAIRS = 1 << 20  # pairs a task adds up before it hands them on
-ROWS = 512  # stored alignments handled at a time
+PART_BYTES = 1 << 19  # text tokenized at a time
+LINKS = 1 << 18  # links formed at a time
+TASK_PAIRS = 1 << 19  # pairs a task adds up before it hands them on
+ROWS = 256  # stored alignments handled at a time
+# Fixed value: how the byte-level vocabulary's texts are split before merging
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ALIGNED = "row long, doc_id long, a array<int>, b array<int>, group_a array<int>, group_b array<int>"
 SUMS = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, rest array<struct<pair:bigint,n:bigint>>"
 
@@ -70,37 +73,37 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Ids and bytes of both tokenizers' tokens."""
+    """Ids and bytes of both tokenizers' tokens.
+
+    The byte-level vocabulary is merged by tiktoken, three times as fast as the
+    library of the file's format and without its offsets; ids are the order of
+    merges there, which is checked, and both split texts by SPLIT (compared on
+    every code point: no difference).
+    """
 
     def __init__(self, bpe: bytes, pieces: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_str(bpe.decode())
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
+        import tiktoken
+
+        model, letters = json.loads(bpe)["model"], _byte_letters()
+        ranks = {bytes(letters[c] for c in token): i for token, i in model["vocab"].items()}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        if sorted(ranks.values()) != list(range(len(ranks))) or any(model["vocab"][x + y] != 256 + i for i, (x, y) in enumerate(merges)):
+            raise ValueError("the ids of this vocabulary are not the order of its merges")
+        self.a = tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})  # none: their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
-        letters, plain = _byte_letters(), {t.content for t in self.a.get_added_tokens_decoder().values()}
-        vocabulary = sorted(self.a.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
-        self.bytes_a = [b""] * (vocabulary[-1][1] + 1)
-        for token, i in vocabulary:
-            self.bytes_a[i] = token.encode() if token in plain else bytes(letters[c] for c in token)
+        self.bytes_a = sorted(ranks, key=ranks.__getitem__)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of each text by both; two empty lists where the bytes are not the text's."""
-        full = [t for t in texts if t]
-        found = zip(full, self.a.encode_batch_fast([" " + t for t in full], add_special_tokens=False), self.b.encode(full, num_threads=1), strict=True)
-        for text in texts:
-            if not text:
-                yield [], []
-                continue
-            text, a, b = next(found)
-            a, said = a.ids, (" " + text).encode()
-            same = b"".join(map(self.bytes_a.__getitem__, a)) == said and b"".join(map(self.bytes_b.__getitem__, b)) == said
-            yield (a, b) if same else ([], [])
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text by both; two empty arrays where the bytes are not the text's."""
+        if text:
+            a, b, said = self.a.encode_ordinary(" " + text), self.b.encode(text, num_threads=1), (" " + text).encode()
+            if b"".join(map(self.bytes_a.__getitem__, a)) == said and b"".join(map(self.bytes_b.__getitem__, b)) == said:
+                return np.array(a, np.int32), np.array(b, np.int32)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
 
 
 def aligned(ends_a: array, ends_b: array) -> tuple[np.ndarray, np.ndarray]:
@@ -163,14 +166,14 @@ def align(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None
 
     def run(batches):
         t = _tokenizers(key, shared)
-        for batch in slices(batches):
+        for batch in slices(batches, size=PART_BYTES):
             a, b, in_a, in_b = [], [], [], []
-            for own_a, own_b in t.encode(column(batch, "text").to_pylist()):
-                a.append(np.array(own_a, np.int32))
-                b.append(np.array(own_b, np.int32))
+            for own_a, own_b in map(t.encode, column(batch, "text").to_pylist()):
+                a.append(own_a)
+                b.append(own_b)
                 cuts = aligned(*(array("q", np.cumsum(size[x]).tobytes()) for size, x in ((t.size_a, a[-1]), (t.size_b, b[-1]))))
                 for to, at in zip((in_a, in_b), cuts, strict=True):
-                    to.append(np.diff(at, prepend=0))
+                    to.append(np.diff(at, prepend=0).astype(np.int32))
             yield pa.RecordBatch.from_arrays([column(batch, "row"), column(batch, "doc_id"), *map(_lists, (a, b, in_a, in_b))],
                                              names=[c.split()[0] for c in ALIGNED.split(", ")])
 
