@@ -5,6 +5,7 @@ from __future__ import annotations
 from clickmart.llm import (
     chat_format,
     decontaminate,
+    language_id,
     minhash,
     oracle,
     periodic_runs,
@@ -69,13 +70,17 @@ def op11_token_alignment(spark, sf_dir):
     return token_alignment.report(table(spark, sf_dir, "documents"))
 
 
+def op12_language_id(spark, sf_dir):
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return periodic_runs.report(table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {f.__name__: f for f in (
     op1_quality_rules, op2_warc, op3_recompression, op4_chat_format, op5_decontaminate, op6_toxicity, op7_url_filter, op8_suffix_dedup, op9_minhash, op10_sentencepieces,
-    op11_token_alignment, op13_periodic_runs)}
+    op11_token_alignment, op12_language_id, op13_periodic_runs)}
 
 ORACLE_SQL = {
     "op1_quality_rules": oracle.OP1,
