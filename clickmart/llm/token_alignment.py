@@ -9,7 +9,8 @@ where a block differs it is halved down to the first difference. The irregular
 group there is resolved by stepping on whichever side ends earlier, which gives
 the new shift.
 
-1. ``align`` tokenizes and aligns every text; its result is stored.
+1. ``packed`` tokenizes and aligns every text; its result is stored (``align``:
+   the same as lists).
 2. ``pair_counts``: in how many documents each pair of ids stands in one group.
    Tasks add up their own documents first.
 3. ``report`` walks the stored groups once more and sums counts over links.
@@ -52,6 +53,7 @@ TASK_PAIRS = 1 << 19  # pairs a task adds up before it hands them on
 ROWS = 256  # stored alignments handled at a time
 # Fixed value: how the byte-level vocabulary's texts are split before merging
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PACKED = "row long, doc_id long, a binary, b binary, last_a binary, last_b binary"
 ALIGNED = "row long, doc_id long, a array<int>, b array<int>, group_a array<int>, group_b array<int>"
 SUMS = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, rest array<struct<pair:bigint,n:bigint>>"
 
@@ -154,30 +156,68 @@ def _tokenizers(key: str, shared) -> Tokenizers:
     return _LOADED[key]
 
 
-def _lists(parts: list) -> pa.Array:
-    ends = np.cumsum([0] + [len(p) for p in parts])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int32)))
-
-
-def align(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None = None) -> DataFrame:
-    """row (a number of its own), doc_id, the ids a and b, and how many a and b tokens each group has."""
+def packed(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None = None) -> DataFrame:
+    """row (a number of its own), doc_id, the ids a and b (32 bits each) and a bit for each token that ends a group."""
     shared = docs.sparkSession.sparkContext.broadcast((_file(bpe_path, "byte_bpe_50k.json"), _file(pieces_path, "piece_bpe_32k.model")))
     key = uuid.uuid4().hex
 
     def run(batches):
         t = _tokenizers(key, shared)
         for batch in slices(batches, size=PART_BYTES):
-            a, b, in_a, in_b = [], [], [], []
-            for own_a, own_b in map(t.encode, column(batch, "text").to_pylist()):
-                a.append(own_a)
-                b.append(own_b)
-                cuts = aligned(*(array("q", np.cumsum(size[x]).tobytes()) for size, x in ((t.size_a, a[-1]), (t.size_b, b[-1]))))
-                for to, at in zip((in_a, in_b), cuts, strict=True):
-                    to.append(np.diff(at, prepend=0).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([column(batch, "row"), column(batch, "doc_id"), *map(_lists, (a, b, in_a, in_b))],
-                                             names=[c.split()[0] for c in ALIGNED.split(", ")])
+            cells = []
+            for a, b in map(t.encode, column(batch, "text").to_pylist()):
+                cuts = aligned(*(array("q", np.cumsum(size[x]).tobytes()) for size, x in ((t.size_a, a), (t.size_b, b))))
+                bits = [np.zeros(len(x), bool) for x in (a, b)]
+                for bit, at in zip(bits, cuts, strict=True):
+                    bit[at - 1] = True
+                cells.append((a.tobytes(), b.tobytes(), *(np.packbits(bit).tobytes() for bit in bits)))
+            yield pa.RecordBatch.from_arrays([column(batch, "row"), column(batch, "doc_id"), *(pa.array(c, pa.binary()) for c in zip(*cells, strict=True))],
+                                             names=[c.split()[0] for c in PACKED.split(", ")])
+
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PACKED)
+
+
+def _cells(cells: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and where each cell begins (and the last ends)."""
+    at = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset:cells.offset + len(cells) + 1].astype(np.int64)
+    raw = cells.buffers()[2]
+    return np.frombuffer(raw, np.uint8)[at[0]:at[-1]] if raw is not None else np.zeros(0, np.uint8), at - at[0]
+
+
+def _side(part: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of one tokenizer: ids, where each row's begin, the row and the number of tokens of each group."""
+    data, at = _cells(column(part, side))
+    ids, at = data.copy().view(np.int32), at // 4
+    bits, begin = _cells(column(part, f"last_{side}"))
+    count = np.diff(at)
+    last = np.unpackbits(bits)[np.arange(len(ids)) + np.repeat(8 * begin[:-1] - at[:-1], count)]
+    ends = np.flatnonzero(last) + 1
+    return ids, at, np.searchsorted(at, ends, "left") - 1, np.diff(ends, prepend=0)
+
+
+def _blocks(batches) -> Iterator[tuple[pa.RecordBatch, tuple, list[np.ndarray]]]:
+    """Parts of packed alignments of bounded size (or one row), the flat arrays of their groups, and where each row's tokens and groups begin."""
+    for batch in batches:
+        ends, lo = np.cumsum(pc.binary_length(column(batch, "a")).to_numpy(zero_copy_only=False) // 4), 0
+        while lo < len(ends):
+            base = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, min(lo + ROWS, int(np.searchsorted(ends, base + LINKS, "right"))))
+            part = batch.slice(lo, hi - lo)
+            a, at_a, row, in_a = _side(part, "a")
+            b, at_b, _, in_b = _side(part, "b")
+            yield part, (row, a, b, in_a, in_b), [at_a, at_b, np.searchsorted(row, np.arange(hi - lo + 1))]
+            lo = hi
 
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ALIGNED)
+
+def align(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None = None) -> DataFrame:
+    """row (a number of its own), doc_id, the ids a and b, and how many a and b tokens each group has."""
+    def run(batches):
+        for part, (_, a, b, in_a, in_b), (at_a, at_b, at) in _blocks(batches):
+            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32()))
+                     for ends, x in ((at_a, a), (at_b, b), (at, in_a), (at, in_b))]
+            yield pa.RecordBatch.from_arrays([column(part, "row"), column(part, "doc_id"), *lists], names=[c.split()[0] for c in ALIGNED.split(", ")])
+
+    return packed(docs, bpe_path, pieces_path).mapInArrow(run, ALIGNED)
 
 
 def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -218,21 +258,6 @@ def links(row: np.ndarray, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b:
     return key // top, key % top, n
 
 
-def _blocks(batches) -> Iterator[tuple[pa.RecordBatch, tuple]]:
-    """Parts of stored alignments of bounded size (or one row), with the flat arrays of their groups."""
-    for batch in batches:
-        lengths = pc.list_value_length(column(batch, "a")).to_numpy(zero_copy_only=False)
-        ends, lo = np.cumsum(lengths), 0
-        while lo < len(ends):
-            base = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, min(lo + ROWS, int(np.searchsorted(ends, base + LINKS, "right"))))
-            part = batch.slice(lo, hi - lo)
-            a, b, in_a, in_b = (column(part, c).flatten().to_numpy().astype(np.int64) for c in ("a", "b", "group_a", "group_b"))
-            row = np.repeat(np.arange(hi - lo), pc.list_value_length(column(part, "group_a")).to_numpy(zero_copy_only=False))
-            yield part, (row, a, b, in_a, in_b)
-            lo = hi
-
-
 def pair_counts(alignments: DataFrame, wide: int) -> DataFrame:
     """pair and docs, the number of rows that hold it linked."""
     def run(batches):
@@ -241,7 +266,7 @@ def pair_counts(alignments: DataFrame, wide: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(docs)], names=["pair", "docs"])
 
         held, size = [], 0
-        for _, flat in _blocks(batches):
+        for _, flat, _ in _blocks(batches):
             held.append(np.unique(links(*flat, wide)[1], return_counts=True))
             size += len(held[-1][0])
             if size > TASK_PAIRS:
@@ -253,7 +278,7 @@ def pair_counts(alignments: DataFrame, wide: int) -> DataFrame:
         if held:
             yield out(held)
 
-    return alignments.select("a", "b", "group_a", "group_b").mapInArrow(run, "pair long, docs long").groupBy("pair").agg(F.sum("docs").alias("docs"))
+    return alignments.select("a", "b", "last_a", "last_b").mapInArrow(run, "pair long, docs long").groupBy("pair").agg(F.sum("docs").alias("docs"))
 
 
 def _written(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, marks: list[bytes]) -> str:
@@ -278,22 +303,20 @@ def _totals(alignments: DataFrame, heavy: tuple, wide: int, names: int) -> DataF
     def run(batches):
         pairs, docs, best = shared.value
         marks = [f"{i}{mark}".encode() for mark in ",|;" for i in range(names)]
-        for part, flat in _blocks(batches):
+        for part, flat, at in _blocks(batches):
             n = part.num_rows
             row, pair, links_ = links(*flat, wide)
-            at = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
-            known = pairs[at] == pair if len(pairs) else np.zeros(len(pair), bool)
+            place = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
+            known = pairs[place] == pair if len(pairs) else np.zeros(len(pair), bool)
             sums, bests, total = (np.zeros(n, np.int64) for _ in range(3))
-            np.add.at(sums, row[known], links_[known] * docs[at[known]])
-            np.add.at(bests, row[known], links_[known] * best[at[known]])
+            np.add.at(sums, row[known], links_[known] * docs[place[known]])
+            np.add.at(bests, row[known], links_[known] * best[place[known]])
             np.add.at(total, row, links_)
             rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[~known], np.arange(n + 1)), pa.int32()),
                                             pa.StructArray.from_arrays([pa.array(pair[~known]), pa.array(links_[~known])], ["pair", "n"]))
-            size = [pc.list_value_length(column(part, c)).cast(pa.int64()) for c in ("a", "b", "group_a")]
-            cut = [np.concatenate([[0], np.cumsum(x.to_numpy())]) for x in size]
             _, a, b, in_a, in_b = flat
-            digest = [_written(a[x:x2], b[y:y2], in_a[z:z2], in_b[z:z2], marks)
-                      for x, x2, y, y2, z, z2 in zip(cut[0], cut[0][1:], cut[1], cut[1][1:], cut[2], cut[2][1:], strict=False)]
+            digest = [_written(a[x:x2], b[y:y2], in_a[z:z2], in_b[z:z2], marks) for x, x2, y, y2, z, z2 in zip(*(c for x in at for c in (x, x[1:])), strict=False)]
+            size = [pa.array(np.diff(x), pa.int64()) for x in at]
             yield pa.RecordBatch.from_arrays(
                 [column(part, "row"), column(part, "doc_id"), *size, pa.array(total), pa.array(bests), pa.array(sums), pa.array(digest, pa.string()), rest],
                 names=[c.split()[0] for c in SUMS.split(", ")])
@@ -305,7 +328,7 @@ def report(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None
     """Tokens, groups, links, links of highest count, sum of counts and a digest of the groups, per document."""
     found = Tokenizers(_file(bpe_path, "byte_bpe_50k.json"), _file(pieces_path, "piece_bpe_32k.model"))
     wide, names = len(found.bytes_b), max(len(found.bytes_a), len(found.bytes_b))
-    alignments = stored(align(docs, bpe_path, pieces_path), "alignments")
+    alignments = stored(packed(docs, bpe_path, pieces_path), "alignments")
     counts = stored(pair_counts(alignments, wide), "pairs")
     first = F.expr(f"pair div {wide}")
     tops = counts.groupBy(first.alias("a")).agg(F.max("docs").alias("top"))  # at most one row an id

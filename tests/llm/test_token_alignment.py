@@ -108,3 +108,9 @@ def test_odd_rows(spark, brute):
     for r, said in zip(sorted(got, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))[:len(texts)], brute([*texts, *texts]), strict=False):
         assert tuple(r[c] for c in FIGURES) == said, r["doc_id"]
     assert len(got) == 2 * len(texts) and token_alignment.report(docs(spark, [])).count() == 0
+
+
+def test_lists(spark):
+    r = token_alignment.align(docs(spark, ["Hello tokenizers", None])).orderBy("doc_id").collect()
+    assert sum(r[0]["group_a"]) == len(r[0]["a"]) and sum(r[0]["group_b"]) == len(r[0]["b"]) and len(r[0]["group_a"]) == len(r[0]["group_b"]) > 0
+    assert r[1]["a"] == r[1]["group_b"] == []
