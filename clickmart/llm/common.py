@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SWITCH = threading.Lock()
+_WRITING: dict[int, list] = {}  # by session: writes that are open, the setting before the first
+
+
+@contextmanager
+def without_shuffle_files(spark: SparkSession):
+    """The shuffle files of a job that is run inside go as soon as it ends. Writes of several threads share the switch."""
+    with _SWITCH:
+        state = _WRITING.setdefault(id(spark), [0, spark.conf.get(CLEANUP, "false")])
+        state[0] += 1
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _SWITCH:
+            state[0] -= 1
+            if not state[0]:
+                spark.conf.set(CLEANUP, _WRITING.pop(id(spark))[1])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared scratch folder and read it back.
 
@@ -30,15 +52,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with without_shuffle_files(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def told_apart(docs: DataFrame, name: Column, other: Column) -> Column:
+    """``name``, but where rows of different ``other`` share it, a name of both."""
+    sides = docs.select(name.alias("name"), other.alias("other")).groupBy("name").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+    shared = [r["name"] for r in sides.where("low <> high").select("name").collect()]
+    return F.when(name.isin(shared), F.xxhash64(name, other)).otherwise(name) if shared else name
+
+
+def text_name(docs: DataFrame) -> Column:
+    """A 64-bit name of ``text`` that differs between all different texts of ``docs``.
+
+    It is xxhash64; texts that share it, but not a second such hash (128 bits in
+    all), are named by both. Two texts in 2e9 share it by chance, so few names
+    are collected.
+    """
+    return told_apart(docs, F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text")))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)
