@@ -10,8 +10,8 @@ candidate. In a bucket only star edges are formed, from its smallest document
 (the hub) to each member, and confirmed on the full sets; components follow.
 A star misses links between two members. Both have the bucket's hub, so all
 members of a hub that are not yet in one component are compared once more:
-a hub's members are dealt into blocks, a task gets two blocks, and reports
-links between different components only. No pair of rows is ever emitted for
+a hub's members are dealt into blocks of bounded number and bytes, a task gets
+two blocks, and reports links between different components only. No pair of rows is ever emitted for
 two documents that are not linked, and hubs whose members are connected (the
 usual group of near copies) are done without it.
 
@@ -19,8 +19,11 @@ Chance of a missed pair of similarity 0.8: (1 - 0.8**4)**32, about 5e-8.
 
 Defined results: null, empty or word-free texts have an empty set and are
 linked with nothing; a null doc_id is kept as its own component (null) and
-links nothing; rows that share a doc_id share a component; empty tables return
-no rows; other columns are ignored.
+links nothing; rows that share a doc_id share a component, each of their texts
+is compared with the others' texts; empty tables return no rows; other columns
+are ignored. Texts of any length are compared whole, at about 64 bytes of
+memory a byte of text; texts are handled SLICE_BYTES at a time, a longer one
+alone.
 """
 
 from __future__ import annotations
@@ -31,17 +34,19 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import column, slices, stored
+from clickmart.llm.common import SLICE_BYTES, column, slices, stored
 from clickmart.llm.words import U, Words, mix, spans_names
 
 BINS = 128  # a power of two
 ROWS = 4  # bins in a band
 BLOCK_DOCS = 512  # members of a hub in a block
+BLOCK_BYTES = 1 << 20  # and bytes of their texts
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
-SIGNATURE = "doc_id long, n_shingles long, set1 long, set2 long, bands array<long>"
+SIGNATURE = "doc_id long, hash long, n_shingles long, set1 long, set2 long, bands array<long>"
 
 
 @dataclass(frozen=True)
@@ -98,7 +103,7 @@ def signatures(row: np.ndarray, name: np.ndarray, n: int) -> np.ndarray:
 
 
 def sign(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """doc_id, set size, a 128-bit name of the set, and the bucket keys of every document."""
+    """doc_id, hash of the text, set size, a 128-bit name of the set, and the bucket keys of every document."""
     def run(batches):
         for batch in slices(batches):
             n = batch.num_rows
@@ -114,10 +119,10 @@ def sign(docs: DataFrame, similarity: Similarity) -> DataFrame:
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, band.shape[1], 0))]), pa.int32()),
                                             pa.array(band[size > 0].ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), pa.array(size, pa.int64()), *(pa.array(s.view(np.int64)) for s in sets), keys],
+                [column(batch, "doc_id"), column(batch, "hash"), pa.array(size, pa.int64()), *(pa.array(s.view(np.int64)) for s in sets), keys],
                 names=[c.split()[0] for c in SIGNATURE.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNATURE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").mapInArrow(run, SIGNATURE)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -142,10 +147,22 @@ def _common(p: np.ndarray, q: np.ndarray) -> int:
     return int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(q) else 0
 
 
+def _pair_slices(batches):
+    """Batches of pairs cut so that each holds at most SLICE_BYTES of text (or one pair)."""
+    for batch in batches:
+        size = sum(np.asarray(pc.fill_null(pc.binary_length(column(batch, c)), 0), np.int64) for c in ("ta", "tb"))
+        ends, lo = np.cumsum(size), 0
+        while lo < len(ends):
+            base = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, base + SLICE_BYTES, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def confirm(edges: DataFrame, texts: DataFrame, similarity: Similarity) -> DataFrame:
     """a, b, common and total (of the full shingle sets) of every edge."""
     def run(batches):
-        for batch in batches:
+        for batch in _pair_slices(batches):
             n = batch.num_rows
             both = pa.concat_arrays([column(batch, "ta"), column(batch, "tb")]).dictionary_encode()
             row, name = shingle_sets(both.dictionary, similarity.shingle_words)
@@ -157,21 +174,22 @@ def confirm(edges: DataFrame, texts: DataFrame, similarity: Similarity) -> DataF
             yield pa.RecordBatch.from_arrays([column(batch, "a"), column(batch, "b"), pa.array(common), pa.array(total)],
                                              names=["a", "b", "common", "total"])
 
-    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}"))
     return edges.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ta", "tb").mapInArrow(
         run, "a long, b long, common long, total long")
 
 
 def compare_members(members: DataFrame, similarity: Similarity) -> DataFrame:
-    """Links (a, b) across components among the members (hub, doc_id, comp, text) of each hub."""
-    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks"))
-    rows = members.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    """Links (a, b) across components among the members (hub, node, comp, text) of each hub."""
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int")
+    sizes = members.groupBy("hub").agg(blocks.alias("blocks"))
+    rows = members.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.struct("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("block"),
-        "doc_id", "comp", "text")  # one column: a shuffle by hub alone would bring a hub's blocks together again
+        "node", "comp", "text")  # one column: a shuffle by hub alone would bring a hub's blocks together again
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        doc, comp = pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy()
+        doc, comp = pdf["node"].to_numpy(), pdf["comp"].to_numpy()
         kinds, which, n = np.unique(comp, return_inverse=True, return_counts=True)
         found = []
         if len(kinds) > 1:
@@ -193,23 +211,23 @@ def compare_members(members: DataFrame, similarity: Similarity) -> DataFrame:
     return rows.groupBy("block").applyInPandas(compare, "a long, b long")
 
 
-def find_links(signed: DataFrame, docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """Confirmed links (a, b) that connect all near duplicates of different sets; signed: one row per set."""
-    rows = signed.select("doc_id", F.explode("bands").alias("key"))
-    hubs = stored(rows.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub"), "hubs")
-    edges = stored(rows.join(hubs, "key").where("doc_id <> hub").select(
-        F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), "edges")
-    ids = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
-                   .groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+def find_links(nodes: DataFrame, docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """Confirmed links (a, b) that connect all near duplicates; nodes: one row (node, doc_id, hash, bands) per set."""
+    rows = nodes.select("node", F.explode("bands").alias("key"))
+    hubs = stored(rows.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub"), "hubs")
+    edges = stored(rows.join(hubs, "key").where("node <> hub").select(
+        F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "edges")
+    ids = nodes.select("node", "doc_id", "hash").join(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").join(ids, ["doc_id", "hash"])
+    texts = stored(texts.dropDuplicates(["node"]).select("node", "text"), "texts")
     links = stored(confirm(edges, texts, similarity).where(
         100 * F.col("common") >= similarity.percent * F.col("total")).select("a", "b"), "confirmed")
     labels = components(links).select(F.col("doc_id").alias("d"), "comp")
-    members = stored(edges.select(F.col("a").alias("hub"), F.col("b").alias("doc_id")).join(
-        labels, F.col("doc_id") == F.col("d"), "left").select("hub", "doc_id", F.coalesce("comp", "doc_id").alias("comp")), "members")
+    members = stored(edges.select(F.col("a").alias("hub"), F.col("b").alias("node")).join(
+        labels, F.col("node") == F.col("d"), "left").select("hub", "node", F.coalesce("comp", "node").alias("comp")), "members")
     apart = stored(members.groupBy("hub").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(
         "low <> high").select("hub"), "apart")
-    members = stored(members.join(apart, "hub").join(texts, "doc_id"), "members")
+    members = stored(members.join(apart, "hub").join(texts, "node"), "members")
     return links.union(stored(compare_members(members, similarity), "more"))
 
 
@@ -220,7 +238,11 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = Similarity()) -> D
     sets = stored(sets, "sets")
     one = signed.where("n_shingles > 0").join(
         sets.select(F.col("first").alias("doc_id"), "set1", "set2"), ["doc_id", "set1", "set2"], "left_semi")
-    links = find_links(one.dropDuplicates(["doc_id", "set1", "set2"]), docs, similarity)
+    nodes = stored(one.dropDuplicates(["doc_id", "set1", "set2"]).select(
+        F.monotonically_increasing_id().alias("node"), "doc_id", "hash", "bands"), "nodes")
+    links = stored(find_links(nodes, docs, similarity), "links")
+    named = lambda x: nodes.select(F.col("node").alias(x), F.col("doc_id").alias(f"doc_{x}"))
+    links = links.join(named("a"), "a").join(named("b"), "b").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
     copies = signed.where("n_shingles > 0").join(sets, ["set1", "set2"]).where("doc_id <> first").select(
         F.col("first").alias("a"), F.col("doc_id").alias("b"))
     comps = components(links.union(copies)).withColumnRenamed("doc_id", "d")
