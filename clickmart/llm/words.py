@@ -1,8 +1,10 @@
 """Words of many texts at once, and 64-bit names of words and word windows (numpy, inside tasks).
 
-Names are polynomials over a fixed ring of 64-bit integers, so a window's name
-comes from two prefix sums; they depend on the content alone and are the same
-in every task.
+A word's names are the halves of its 128-bit hash, taken once per distinct word
+of a batch. A window's name is a polynomial over 64-bit integers of its words'
+names and comes from two prefix sums. (Words themselves are not named by such
+polynomials: some long strings have equal ones for every base.) Names depend on
+the content alone and are the same in every task.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so they have inverses
@@ -77,9 +80,18 @@ class Words:
         self.first = np.searchsorted(self.start, self.begins)
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(texts)), self.count)
+        self.hashes = None  # of the words, made when asked for
 
     def names(self, which: int = 0) -> np.ndarray:
-        return spans_names(_bytes_names(which)[self.data], self.start, self.end, which)
+        """First or second half of every word's hash."""
+        if self.hashes is None:
+            size = self.end - self.start
+            ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            words = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(self.data[~SPACE[self.data]])])
+            coded = words.dictionary_encode()
+            digests = b"".join(map(xxhash.xxh3_128_digest, coded.dictionary.to_pylist()))
+            self.hashes = np.frombuffer(digests, U).reshape(-1, 2)[coded.indices.to_numpy(zero_copy_only=False)]
+        return self.hashes[:, which].copy()
 
     def windows(self, size: int) -> np.ndarray:
         """First words of all windows of ``size`` words that stay in one row."""
