@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import column, slices, stored
+from clickmart.llm.common import column, slices, stored, text_name
 from clickmart.llm.words import U, Words, mix, spans_names
 
 WINDOW = 35
@@ -39,10 +39,6 @@ GROUP = 3
 POSITION = U(31)  # low bits that hold a position where hash and position share a word
 
 
-def _text() -> Column:
-    return F.xxhash64("text")
-
-
 def _row() -> Column:
     return F.xxhash64("doc_id", "text")
 
@@ -115,7 +111,7 @@ def anchors(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return first, name, place
 
 
-def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
+def shared_anchors(docs: DataFrame, window: int, text: Column) -> DataFrame:
     """t (text), names: the anchors of each text that other texts have too, or that it has twice."""
     def run(batches):
         for batch in slices(batches):
@@ -136,17 +132,17 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a[at].view(np.int64)), pa.array(t[d[at]]), pa.array(twice)], names=["name", "t", "twice"])
 
-    found = stored(docs.select(_text().alias("t"), "text").mapInArrow(run, "name long, t long, twice boolean"), "anchors")
+    found = stored(docs.select(text.alias("t"), "text").mapInArrow(run, "name long, t long, twice boolean"), "anchors")
     shared = found.groupBy("name").agg(F.min("t").alias("low"), F.max("t").alias("high"), F.max("twice").alias("twice")).where(
         "low <> high or twice").select("name")
     return found.join(shared, "name").groupBy("t").agg(F.collect_set("name").alias("names"))
 
 
-def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int, text: Column) -> DataFrame:
     """t and starts (first words, sorted) of the windows that occur twice; one row per text."""
-    rows = docs.select(_text().alias("t"), _row().alias("r"), "text")
+    rows = docs.select(text.alias("t"), _row().alias("r"), "text")
     ones = rows.groupBy("t").agg(F.min("r").alias("r"))
-    lists = stored(shared_anchors(docs, window).join(ones, "t"), "lists")
+    lists = stored(shared_anchors(docs, window, text).join(ones, "t"), "lists")
 
     def run(batches):
         for batch in slices(batches):
@@ -171,11 +167,11 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     return found.join(again, ["one", "two"]).groupBy("t").agg(F.sort_array(F.collect_list("pos")).alias("starts"))
 
 
-def decisions(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def decisions(docs: DataFrame, window: int, text: Column) -> DataFrame:
     """t, r, whole, starts: what is removed from the rows that lose anything; other rows are absent."""
-    rows = docs.select(_text().alias("t"), _row().alias("r"))
+    rows = docs.select(text.alias("t"), _row().alias("r"))
     copied = stored(rows.groupBy("t").agg(F.count("*").alias("n")).where("n > 1").select("t"), "copied")
-    parts = stored(repeated_windows(docs, window), "starts")
+    parts = stored(repeated_windows(docs, window, text), "starts")
     whole = rows.join(copied, "t").distinct().select("t", "r", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("starts"))
     single = rows.join(parts, "t").join(copied, "t", "left_anti").select("t", "r", F.lit(False).alias("whole"), "starts")
     return whole.unionByName(single)
@@ -195,8 +191,9 @@ def _gone(words: Words, row: int, whole: bool | None, starts, window: int) -> np
 
 def _decided(docs: DataFrame, window: int) -> DataFrame:
     """row (all columns), text, whole, starts."""
-    d = stored(decisions(docs, window), "decisions").withColumnsRenamed({"t": "_t", "r": "_r"})
-    rows = docs.select(F.struct("*").alias("row"), "text", _text().alias("t"), _row().alias("r"))
+    text = text_name(docs)
+    d = stored(decisions(docs, window, text), "decisions").withColumnsRenamed({"t": "_t", "r": "_r"})
+    rows = docs.select(F.struct("*").alias("row"), "text", text.alias("t"), _row().alias("r"))
     return rows.join(d, (F.col("t") == F.col("_t")) & (F.col("r") == F.col("_r")), "left").select("row", "text", "whole", "starts")
 
 

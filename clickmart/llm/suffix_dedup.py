@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import column, slices, stored
+from clickmart.llm.common import column, slices, stored, text_name
 from clickmart.llm.words import U, _bytes_names, mix, spans_names
 
 LENGTH = 100
@@ -50,10 +50,6 @@ POSITION = U(31)  # low bits that hold a position where hash and position share
 LAST = (1 << 63) - 1
 
 
-def _text() -> Column:
-    return F.xxhash64("text")
-
-
 def _order() -> Column:
     return F.coalesce(F.col("doc_id"), F.lit(LAST))
 
@@ -90,7 +86,7 @@ def contexts(data: np.ndarray, begins: np.ndarray, length: int) -> tuple[np.ndar
     return row[at], name[place[at]], place[at], whole[at], whole[np.append(at[1:], len(whole)) - 1] if len(at) else empty
 
 
-def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
+def shared_anchors(docs: DataFrame, length: int, text: Column) -> DataFrame:
     """t (text), names: the anchors of each text that other texts have too, or that it has twice."""
     def run(batches):
         for batch in slices(batches):
@@ -105,7 +101,7 @@ def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), pa.array(t[d[at]]), pa.array(twice)],
                                              names=["name", "t", "twice"])
 
-    found = stored(docs.select(_text().alias("t"), "text").mapInArrow(run, "name long, t long, twice boolean"), "anchors")
+    found = stored(docs.select(text.alias("t"), "text").mapInArrow(run, "name long, t long, twice boolean"), "anchors")
     shared = stored(found.groupBy("name").agg(F.min("t").alias("low"), F.max("t").alias("high"), F.max("twice").alias("twice")).where(
         "low <> high or twice").select("name"), "shared")
     return found.join(shared, "name").groupBy("t").agg(F.collect_set("name").alias("names"))
@@ -114,11 +110,11 @@ def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
 OCCURRENCE = "name long, same long, o long, t long, first int, last int, lead int, bytes binary"
 
 
-def occurrences(docs: DataFrame, length: int) -> DataFrame:
+def occurrences(docs: DataFrame, length: int, text: Column) -> DataFrame:
     """One row per shared anchor and place: name, same (digest of the context), o (doc_id), t, string starts, bytes."""
-    rows = docs.select(_text().alias("t"), _order().alias("o"), "text")
+    rows = docs.select(text.alias("t"), _order().alias("o"), "text")
     ones = rows.groupBy("t").agg(F.min("o").alias("o"))
-    lists = stored(shared_anchors(docs, length).join(ones, "t"), "lists")
+    lists = stored(shared_anchors(docs, length, text).join(ones, "t"), "lists")
 
     def run(batches):
         for batch in slices(batches):
@@ -291,9 +287,9 @@ def similar_contexts(heads: DataFrame, length: int) -> DataFrame:
     return heads.join(kept, ["name", "same"], "left_semi")
 
 
-def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int, text: Column) -> DataFrame:
     """t, ranges: of string starts that go, of the representative of each text."""
-    found = stored(occurrences(docs, length), "occurrences")
+    found = stored(occurrences(docs, length, text), "occurrences")
     firsts = stored(found.groupBy("name", "same").agg(F.min(F.struct("o", "t", "first")).alias("one")), "firsts")
     later = found.select("name", "same", "o", "t", "first", "last").join(firsts, ["name", "same"]).where(
         F.struct("o", "t", "first") > F.col("one")).select("t", "first", "last")
@@ -309,8 +305,9 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the digest of the remaining bytes."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranges = repeated_ranges(docs, length)
-    rows = docs.select(_text().alias("t"), _order().alias("o"))
+    name = text_name(docs)
+    ranges = repeated_ranges(docs, length, name)
+    rows = docs.select(name.alias("t"), _order().alias("o"))
     copied = stored(rows.groupBy("t").agg(F.min("o").alias("one"), F.max("o").alias("high")), "texts")
     whole = rows.join(copied.where("one <> high").select("t", "one"), "t").where("o > one").distinct().select(
         F.col("t").alias("_t"), F.col("o").alias("_o"), F.lit(True).alias("whole"),
@@ -345,7 +342,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 [column(batch, "doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = docs.select("doc_id", "text", _text().alias("t"), _order().alias("o")).join(
+    joined = docs.select("doc_id", "text", name.alias("t"), _order().alias("o")).join(
         decided, (F.col("t") == F.col("_t")) & (F.col("o") == F.col("_o")), "left")
     return joined.select("doc_id", "text", "whole", "ranges").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
