@@ -343,8 +343,63 @@ UNION ALL SELECT 'top_performing_products', count(*) FROM m_products
 UNION ALL SELECT 'users_segments_agg', count(*) FROM m_users
 UNION ALL SELECT 'users_purchases_segments_agg', count(*) FROM m_users_purchases"""
 
+# A file per feed and day, named by the day's first hour; the load report has one day more.
+_DAYS = """
+SELECT f.feed, d.day, coalesce(n.rows, 0) AS n, coalesce(n.broken, 0) AS broken, coalesce(n.even, 0) AS even
+FROM (VALUES ('browser_events'), ('device_events'), ('geo_events'), ('location_events')) f(feed)
+CROSS JOIN (SELECT unnest(generate_series((SELECT min(date_trunc('day', ts)) FROM events), (SELECT max(date_trunc('day', ts)) FROM events) + INTERVAL 1 DAY,
+                                          INTERVAL 1 DAY))::TIMESTAMP AS day) d
+LEFT JOIN (SELECT date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS rows, count(*) FILTER (event_id % {every} = 0) AS broken,
+                  count(*) FILTER (event_id % 2 = 0) AS even FROM events GROUP BY 1) n ON n.day = d.day""".format(every=P.BROKEN_EVERY)
+_FILE = "strftime(day, '%Y-') || CAST(month(day) AS VARCHAR) || strftime(day, '-%d-H%H.jsonl')"
+BODIES["ingest_load_report"] = f"""
+SELECT feed, day AS load_hour, CASE WHEN n = 0 THEN 'skipped' ELSE 'loaded' END AS status, n AS rows,
+       CASE WHEN feed = 'location_events' THEN broken ELSE 0 END AS corrupt_rows,
+       n - CASE WHEN feed = 'location_events' THEN broken ELSE 0 END AS parsed_rows
+FROM ({_DAYS})"""
+BODIES["ingest_backfill_ledger"] = f"""
+SELECT feed, day AS load_hour, {_FILE} AS delivery, n AS rows, CASE WHEN day = min(day) OVER () THEN 2 ELSE 1 END AS loads
+FROM ({_DAYS}) WHERE n > 0"""
+BODIES["ingest_hour_states"] = f"""
+SELECT feed, day AS load_hour, 'data/' || feed || '/' || {_FILE} AS path, CASE WHEN n = 0 THEN 'missing' ELSE 'new' END AS state
+FROM ({_DAYS})"""
+BODIES["ingest_zip_feed"] = BODIES["ingest_json_location_events"]
+BODIES["ingest_stream_counts"] = BODIES["explore_source_counts"]
+_COUNTS = {"raw": ("browser_events", "device_events", "geo_events", "location_events"),
+           "stage": {"conversion": "s_conversion", "devices": "s_devices", "events": "s_events", "geo": "s_geo", "purchases": "s_purchases",
+                     "session_info": "s_session_info", "transitions": "s_transitions"},
+           "mart": {"campaign_purchase_analysis_hourly": "m_campaigns", "click_conversion_rates_hourly": "m_sources",
+                    "events_distribution_hourly": "m_events", "purchased_products_count_hourly": "m_sales",
+                    "top_performing_products": "m_products", "users_segments_agg": "m_users", "users_purchases_segments_agg": "m_users_purchases"}}
+BODIES["ingest_catalog"] = "\nUNION ALL ".join(
+    [f"SELECT 'raw' AS layer, '{t}' AS name, count(*) AS rows FROM {t}" for t in _COUNTS["raw"]]
+    + [f"SELECT 'raw', '{t}_rejected', 0" for t in _COUNTS["raw"]]
+    + [f"SELECT '{layer}', '{name}', count(*) FROM {source}" for layer in ("stage", "mart") for name, source in _COUNTS[layer].items()])
+
+
+def _long(mart: str, source: str, keys: str, value: str) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '~')" for k in keys.split())
+    return f"SELECT '{mart}' AS mart, {text} AS key, CAST({value} AS BIGINT) AS value FROM {source}"
+
+
+BODIES["pipeline_backfill"] = "\nUNION ALL ".join((
+    _long("campaign_purchase_analysis_hourly", "m_campaigns", "utm_campaign utm_medium date_part", "sm"),
+    _long("click_conversion_rates_hourly", "m_sources", "utm_source date_part", "sm"),
+    _long("events_distribution_hourly", "m_events", "event date_part os_name device_type browser_name", "cnt"),
+    _long("purchased_products_count_hourly", "m_sales", "date_part", "cnt"),
+    _long("top_performing_products", "m_products", "product", "cnt"),
+    _long("users_segments_agg", "m_users", "os_name device_type utm_source", "users"),
+    _long("users_purchases_segments_agg", "m_users_purchases", "device_type utm_source os_name", "products")))
+BODIES["pipeline_incremental"] = BODIES["pipeline_backfill"]
+BODIES["report_cached_sales"] = BODIES["report_sales_hourly"]
+
 _PREFIX = "WITH " + ",".join([FEEDS, STAGE, MARTS]) + "\n"
 
 
+# The same over the events of the first day alone.
+_FIRST_DAY = _PREFIX.replace("FROM events\n", "FROM events WHERE ts < (SELECT min(date_trunc('day', ts)) + INTERVAL 1 DAY FROM events)\n", 1)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _PREFIX + body for name, body in BODIES.items()}
+    out = {name: _PREFIX + body for name, body in BODIES.items()}
+    return out | {"pipeline_run_hour": _FIRST_DAY + BODIES["pipeline_backfill"]}

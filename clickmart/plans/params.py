@@ -17,3 +17,4 @@ FILTER_OS = ("iOS", "Android", "Linux")
 FILTER_BROWSERS = ("Chrome", "Safari")
 USERS_OS = ("iOS", "Android", "Windows")
 USERS_SOURCES = ("facebook", "google", None)
+BROKEN_EVERY = 97  # of the load report: events whose location line is broken

@@ -11,7 +11,8 @@
 
 Full rebuilds (like the definition): a late click can change the attribution
 of its session and every later purchase row of that session, so partial
-per-hour refreshes would be wrong. Each table is written anew and a view is
+per-hour refreshes would be wrong (``plans.incremental`` recomputes whole
+sessions instead). Each table is written anew and a view is
 then pointed at it; writing a table is also what cuts the lineage between
 layers, so a lost executor only recomputes from the last written table.
 """
@@ -83,33 +84,65 @@ def build_marts(spark: SparkSession, stage_tables: Mapping[str, DataFrame] | Non
     return {name: _save(marts[name], f"{db}.{name}") for name in MART_TABLES}
 
 
+class MartCache:
+    """The marts of a database, cached for repeated report queries.
+
+    A cached mart belongs to the version its view pointed at. Each access looks
+    where the view points now; if a refresh has moved it, the new version is
+    cached and the blocks of the old one are released.
+    """
+
+    def __init__(self, spark: SparkSession, db: str = "mart"):
+        self.spark, self.db = spark, db
+        self.held: dict[str, tuple[str, DataFrame]] = {}
+
+    def version(self, name: str) -> str:
+        """The table that the mart's view reads."""
+        for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.db}.{name}").collect():
+            if r["col_name"] == "View Text":
+                return r["data_type"].rsplit(" ", 1)[1]
+        return f"{self.db}.{name}"  # a table from before there were versions
+
+    def __getitem__(self, name: str) -> DataFrame:
+        version = self.version(name)
+        if name in self.held and self.held[name][0] == version:
+            return self.held[name][1]
+        self.release(name)
+        self.held[name] = version, self.spark.table(version).cache()
+        return self.held[name][1]
+
+    def release(self, name: str) -> None:
+        if name in self.held:
+            self.held.pop(name)[1].unpersist()
+
+
 def load_marts(spark: SparkSession, db: str = "mart", cache: bool = True) -> dict[str, DataFrame]:
-    """The seven marts, cached for repeated report queries."""
-    out = {}
-    for name in MART_TABLES:
-        df = spark.table(f"{db}.{name}")
-        out[name] = df.cache() if cache else df
-    return out
+    """The seven marts as they are now, cached or not (``MartCache`` follows refreshes)."""
+    marts = MartCache(spark, db)
+    return {name: marts[name] if cache else spark.table(f"{db}.{name}") for name in MART_TABLES}
 
 
-def rebuild(spark: SparkSession, raw_db: str = "raw") -> dict[str, DataFrame]:
+def rebuild(spark: SparkSession, raw_db: str = "raw", stage_db: str = "stage", mart_db: str = "mart") -> dict[str, DataFrame]:
     raw = ingest.read_raw(spark, raw_db)
-    st = build_stage(spark, raw)
-    return build_marts(spark, st)
+    st = build_stage(spark, raw, stage_db)
+    return build_marts(spark, st, db=mart_db)
 
 
-def run_hour(spark: SparkSession, root: str, hour: dt.datetime, layout: str = "landing") -> DataFrame:
+def run_hour(spark: SparkSession, root: str, hour: dt.datetime, layout: str = "landing", raw_db: str = "raw",
+             stage_db: str = "stage", mart_db: str = "mart") -> DataFrame:
     """Load one hour of the four feeds (missing feeds are skipped), then
     rebuild stage and marts. Returns the load report."""
-    report = ingest.ingest_hours(spark, root, [hour], layout)
-    rebuild(spark)
+    report = ingest.ingest_hours(spark, root, [hour], layout, raw_db)
+    rebuild(spark, raw_db, stage_db, mart_db)
     return report
 
 
 def backfill(spark: SparkSession, root: str, start: dt.datetime, end: dt.datetime,
-             layout: str = "landing", hours: Sequence[dt.datetime] | None = None) -> DataFrame:
+             layout: str = "landing", hours: Sequence[dt.datetime] | None = None, raw_db: str = "raw",
+             stage_db: str = "stage", mart_db: str = "mart") -> DataFrame:
     """Load every hour from ``start`` to ``end`` (one read per feed over all
-    of them), then rebuild once. Returns the load report."""
-    report = ingest.ingest_hours(spark, root, hours or ingest.hours_between(start, end), layout)
-    rebuild(spark)
+    of them), then rebuild once. Returns the load report. (``ingest.ingest_pending``
+    loads only what the ledger lacks.)"""
+    report = ingest.ingest_hours(spark, root, hours or ingest.hours_between(start, end), layout, raw_db)
+    rebuild(spark, raw_db, stage_db, mart_db)
     return report

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.operators import explore, marts, report, stage
+from clickmart.plans import load_queries, pipeline
 from clickmart.plans import params as P
-from clickmart.plans import pipeline
 from clickmart.plans.lake import Lake
 from clickmart.session import scratch_path
 from clickmart.sources import ingest, schemas
@@ -323,3 +323,6 @@ def _p3_campaigns(k: Lake):
     stage_db, mart_db = _scratch_db(), _scratch_db()
     pipeline.build_marts(spark, pipeline.build_stage(spark, k.feeds, stage_db), db=mart_db)
     return pipeline.load_marts(spark, mart_db, cache=False)["campaign_purchase_analysis_hourly"]
+
+
+REGISTRY.update(load_queries.REGISTRY)

@@ -67,6 +67,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of scratch rows that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read back: what follows is
     planned from the stored rows, which outlive any executor."""

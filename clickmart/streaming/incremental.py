@@ -5,7 +5,8 @@ triggered with ``availableNow``: every run picks up exactly the files that
 arrived since the last run (tracked in the checkpoint), writes them to the
 raw table through ``foreachBatch`` (dynamic overwrite of the delivered files,
 so a replayed batch after a failure replaces rather than duplicates, and other
-files of the same hour stay), then stops. Unreadable lines and files without
+files of the same hour stay), then stops. Each batch is written to the ledger
+of deliveries once it is in the table. Unreadable lines and files without
 an hour in their name are kept in ``{feed}_rejected``. ``clean_source="delete"`` removes consumed files like the hourly
 loader did; ``"archive"`` moves them to ``archive_dir``.
 
@@ -15,11 +16,14 @@ stage/marts are rebuilt in batch afterwards.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.session import scratch_path
-from clickmart.sources import ingest, schemas
+from clickmart.sources import ingest, ledger, schemas
 
 
 def landing_stream(spark: SparkSession, root: str, feed: str, clean_source: str = "off",
@@ -43,9 +47,12 @@ def landing_stream(spark: SparkSession, root: str, feed: str, clean_source: str
 
 def ingest_available(spark: SparkSession, root: str, feeds=schemas.FEEDS, db: str = "raw",
                      checkpoint_root: str | None = None, clean_source: str = "off",
-                     archive_dir: str | None = None) -> dict[str, int]:
+                     archive_dir: str | None = None, max_files_per_trigger: int | None = None,
+                     after_batch: Callable[[str, int], None] | None = None) -> dict[str, int]:
     """Load all newly arrived landing files of each feed; returns the number of
-    micro-batches each stream ran."""
+    micro-batches each stream ran. ``after_batch(feed, batch)`` is called when a
+    batch is in the raw table and not yet in the checkpoint: if it raises, the
+    stream ends there, and the next call runs that batch again."""
     ingest.create_raw_tables(spark, db)
     batches: dict[str, int] = {}
     for feed in feeds:
@@ -53,15 +60,23 @@ def ingest_available(spark: SparkSession, root: str, feeds=schemas.FEEDS, db: st
             scratch_path(spark, "streams", db, feed)
 
         def write_batch(batch: DataFrame, epoch_id: int, feed=feed) -> None:
-            ingest.write_raw(batch, feed, db)
+            load = time.time_ns()
+            counts = ingest.write_raw(batch, feed, db, load)
+            ledger.record(batch.sparkSession, db, load, [
+                (feed, r[ingest.LOAD_HOUR], r[ingest.DELIVERY], f"{root.rstrip('/')}/data/{feed}/{r[ingest.DELIVERY]}", None, None,
+                 ledger.LOADED, r["rows"], r["corrupt_rows"], r["parsed_rows"]) for r in counts if r[ingest.LOAD_HOUR] is not None])
+            if after_batch:
+                after_batch(feed, epoch_id)
 
-        q = (landing_stream(spark, root, feed, clean_source, archive_dir)
+        q = (landing_stream(spark, root, feed, clean_source, archive_dir, max_files_per_trigger)
              .writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", ckpt)
              .trigger(availableNow=True)
              .start())
-        q.awaitTermination()
-        for table in (feed, f"{feed}_rejected"):  # the batches wrote through a session of their own
-            spark.catalog.refreshTable(f"{db}.{table}")
+        try:
+            q.awaitTermination()
+        finally:
+            for table in (feed, f"{feed}_rejected"):  # the batches wrote through a session of their own
+                spark.catalog.refreshTable(f"{db}.{table}")
         batches[feed] = len(q.recentProgress)
     return batches
