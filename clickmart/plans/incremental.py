@@ -28,7 +28,8 @@ Steps 4 to 6 read no raw rows. Rows without a session (null) are one session.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,16 +106,22 @@ def _log(spark: SparkSession, lake: Lakehouse, run: int, step: str, loads: list[
         "append").insertInto(f"{lake.state}.runs")
 
 
-def _of(df: DataFrame, keys: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
-    """Rows of ``df`` whose column is (or, left_anti, is not) among the keys' only column, null equal to null.
+def _side_by_side(fn: Callable, *args: Iterable) -> list:
+    """``fn`` for each of a layer's tables, as jobs side by side."""
+    with ThreadPoolExecutor(len(MART_TABLES)) as pool:
+        return list(pool.map(fn, *args))
+
 
-    Few keys are sent to the tasks, so that ``df`` is filtered where it is read; many are joined by a shuffle.
-    """
-    key = keys.columns[0]
-    mine = keys.select(F.col(key).alias("_key"))
-    if mine.limit(SENT_KEYS + 1).count() <= SENT_KEYS:
-        mine = F.broadcast(mine)
-    return df.join(mine, F.col(column).eqNullSafe(F.col("_key")), how)
+def _sent(keys: DataFrame) -> DataFrame:
+    """Stored keys (one column) as the side of a semi join: few are sent to the tasks, so that the other side is filtered
+    where it is read; many are joined by a shuffle."""
+    keys = keys.select(F.col(keys.columns[0]).alias("_key"))
+    return F.broadcast(keys) if keys.limit(SENT_KEYS + 1).count() <= SENT_KEYS else keys
+
+
+def _of(df: DataFrame, keys: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose column is (or, left_anti, is not) among the keys (``_sent``), null equal to null."""
+    return df.join(keys, F.col(column).eqNullSafe(F.col("_key")), how)
 
 
 def _hours(df: DataFrame, column: str) -> list:
@@ -137,8 +144,10 @@ def _loaded_rows(spark: SparkSession, lake: Lakehouse, loads: list[int]) -> dict
 
 def _neighbours(sessions: DataFrame, shared: DataFrame) -> DataFrame:
     """The sessions and those that share an event id with one of them."""
-    ids = _of(shared, sessions, "session_id").select("event_id").distinct()
-    return sessions.union(_of(shared, ids, "event_id").select("session_id")).distinct()
+    if not shared.take(1):
+        return sessions
+    ids = cut(_of(shared, _sent(sessions), "session_id").select("event_id").distinct(), "neighbour-events")
+    return sessions.union(_of(shared, _sent(ids), "event_id").select("session_id")).distinct()
 
 
 def _touched(spark: SparkSession, lake: Lakehouse, run: int, loads: list[int]) -> tuple[DataFrame, DataFrame]:
@@ -153,6 +162,7 @@ def _touched(spark: SparkSession, lake: Lakehouse, run: int, loads: list[int]) -
     both = keys.select("feed", "event_id", "session_id").union(old)
     ids = cut(both.where(F.col("event_id").isNotNull()).select("event_id").distinct(), "touched-events")
 
+    ids = _sent(ids)
     clicks = _read(spark, f"{lake.raw}.browser_events").select("event_id", F.col("click_id").alias("session_id"))
     clicks = cut(_of(clicks, ids, "event_id").distinct(), "touched-clicks")
     pages = _read(spark, f"{lake.raw}.location_events").select("event_id", "load_hour")
@@ -171,25 +181,26 @@ def _touched(spark: SparkSession, lake: Lakehouse, run: int, loads: list[int]) -
 
 def _raw_rows(spark: SparkSession, lake: Lakehouse, sessions: DataFrame) -> dict[str, DataFrame]:
     """The raw rows of the sessions, from the delivery hours that hold any of them."""
-    where = cut(_of(_read(spark, f"{lake.state}.session_hours"), sessions, "session_id").select("feed", "load_hour").distinct(), "session-hours")
+    mine = _sent(sessions)
+    where = cut(_of(_read(spark, f"{lake.state}.session_hours"), mine, "session_id").select("feed", "load_hour").distinct(), "session-hours")
 
     def pruned(feed: str) -> DataFrame:
         hours = _hours(where.where(F.col("feed") == feed), "load_hour")
         return _read(spark, f"{lake.raw}.{feed}").where(F.col("load_hour").isin(hours)).drop("load_hour", "delivery")
 
-    out = {feed: cut(_of(pruned(feed), sessions, "click_id"), f"rows-{feed}") for feed in schemas.FEEDS if feed != "location_events"}
-    ids = out["browser_events"].where(F.col("event_id").isNotNull()).select("event_id").distinct()
-    out["location_events"] = cut(_of(pruned("location_events"), cut(ids, "row-events"), "event_id"), "rows-location_events")
+    by_session = [feed for feed in schemas.FEEDS if feed != "location_events"]
+    out = dict(zip(by_session, _side_by_side(lambda feed: cut(_of(pruned(feed), mine, "click_id"), f"rows-{feed}"), by_session), strict=True))
+    ids = cut(out["browser_events"].where(F.col("event_id").isNotNull()).select("event_id").distinct(), "row-events")
+    out["location_events"] = cut(_of(pruned("location_events"), _sent(ids), "event_id"), "rows-location_events")
     return out
 
 
-def _stage_rows(feeds: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    b, loc = feeds["browser_events"], feeds["location_events"]
-    tr = cut(stage.transitions(b, loc), "transitions")
-    return {"transitions": tr, "purchases": stage.purchases_from_events(tr),
-            "conversion": stage.conversion_from_ids(tr.select("session_id", "event_id"), loc),
-            "devices": stage.devices(feeds["device_events"]), "events": stage.events(b),
-            "geo": stage.geo(feeds["geo_events"]), "session_info": stage.session_info(b)}
+def _stage_rows(name: str, feeds: Mapping[str, DataFrame], tr: DataFrame) -> DataFrame:
+    """A stage table of the feeds' rows and their transitions."""
+    return {"transitions": lambda: tr, "purchases": lambda: stage.purchases_from_events(tr),
+            "conversion": lambda: stage.conversion_from_ids(tr.select("session_id", "event_id"), feeds["location_events"]),
+            "devices": lambda: stage.devices(feeds["device_events"]), "events": lambda: stage.events(feeds["browser_events"]),
+            "geo": lambda: stage.geo(feeds["geo_events"]), "session_info": lambda: stage.session_info(feeds["browser_events"])}[name]()
 
 
 def mart_sums(s: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -218,37 +229,50 @@ def mart_sums(s: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def _compute(spark: SparkSession, lake: Lakehouse, run: int, loads: list[int], path: str) -> None:
     """Steps 1 to 4; what step 5 needs is stored below ``path``."""
     changed, inputs = _touched(spark, lake, run, loads)
-    hours = _of(_read(spark, f"{lake.state}.session_hours"), changed, "session_id")
-    known = _of(_read(spark, f"{lake.state}.homes").where(F.col("run") != run), changed, "session_id").select("session_id", "home")
+    mine = _sent(changed)
+    hours = _of(_read(spark, f"{lake.state}.session_hours"), mine, "session_id")
+    known = _of(_read(spark, f"{lake.state}.homes").where(F.col("run") != run), mine, "session_id").select("session_id", "home")
     fresh = hours.groupBy("session_id").agg(F.min("load_hour").alias("home"))
     fresh = fresh.join(known.select(F.col("session_id").alias("_known")), F.col("session_id").eqNullSafe(F.col("_known")), "left_anti")
     _keep(fresh, f"{lake.state}.homes", run)
     known.union(_read(spark, f"{lake.state}.homes").where(F.col("run") == run).select("session_id", "home")).write.parquet(f"{path}/sessions")
     sessions = spark.read.parquet(f"{path}/sessions")
-    homes = _hours(sessions, "home")
+    homes, mine = _hours(sessions, "home"), _sent(sessions.select("session_id"))
+
+    feeds = _raw_rows(spark, lake, inputs)
+    tr = cut(stage.transitions(feeds["browser_events"], feeds["location_events"]), "transitions")
 
-    built, new, old = _stage_rows(_raw_rows(spark, lake, inputs)), {}, {}
-    for name, rows in built.items():
+    def build(name: str) -> tuple[DataFrame, DataFrame]:
+        """The sessions' new rows of a stage table, and their old ones."""
+        rows = _of(_stage_rows(name, feeds, tr), mine, "session_id")
         at = sessions.withColumnRenamed("session_id", "_session")
         rows = rows.join(at, F.col("session_id").eqNullSafe(F.col("_session"))).drop("_session")
         rows.write.parquet(f"{path}/{name}")
-        new[name] = spark.read.schema(rows.schema).parquet(f"{path}/{name}")
-        old[name] = _of(_read(spark, f"{lake.stage}.{name}").where(F.col("home").isin(homes)), sessions.select("session_id"), "session_id")
-    after, before = mart_sums(new), mart_sums({k: cut(v, f"old-{k}") for k, v in old.items() if k in ("purchases", "transitions", "conversion", "devices")})
-    for mart, (keys, _) in MART_KEYS.items():
+        old = _of(_read(spark, f"{lake.stage}.{name}").where(F.col("home").isin(homes)), mine, "session_id")
+        in_marts = name in ("purchases", "transitions", "conversion", "devices")
+        return spark.read.schema(rows.schema).parquet(f"{path}/{name}"), cut(old, f"old-{name}") if in_marts else old
+
+    built = dict(zip(STAGE_TABLES, _side_by_side(build, STAGE_TABLES), strict=True))
+    after, before = (mart_sums({name: pair[i] for name, pair in built.items()}) for i in (0, 1))
+
+    def add(mart: str) -> None:
+        keys = MART_KEYS[mart][0]
         less = before[mart].withColumns({"value": -F.col("value"), "n": -F.col("n")})
         delta = after[mart].unionByName(less).groupBy(*keys).agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
         _keep(delta.where("value <> 0 or n <> 0"), f"{lake.state}.{mart}_delta", run)
 
+    _side_by_side(add, MART_TABLES)
+
 
 def _swap(spark: SparkSession, lake: Lakehouse, path: str) -> None:
     """Step 5: the homes of the sessions, with the new rows of these and the old rows of all others."""
     sessions = spark.read.parquet(f"{path}/sessions")
-    homes = _hours(sessions, "home")
-    for name in STAGE_TABLES:
+    homes, mine = _hours(sessions, "home"), _sent(sessions.select("session_id"))
+
+    def swap(name: str) -> None:
         table = f"{lake.stage}.{name}"
         stored = _read(spark, table)
-        others = _of(stored.where(F.col("home").isin(homes)), sessions.select("session_id"), "session_id", "left_anti")
+        others = _of(stored.where(F.col("home").isin(homes)), mine, "session_id", "left_anti")
         new = spark.read.schema(stored.schema).parquet(f"{path}/{name}")
         rows = cut(others.unionByName(new), f"swap-{name}")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
@@ -257,6 +281,8 @@ def _swap(spark: SparkSession, lake: Lakehouse, path: str) -> None:
             specs = ", ".join(f"PARTITION (home = TIMESTAMP_NTZ '{h:%Y-%m-%d %H:%M:%S}')" for h in empty)
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
+    _side_by_side(swap, STAGE_TABLES)
+
 
 def marts(spark: SparkSession, lake: Lakehouse) -> dict[str, DataFrame]:
     """The marts as sums of all deltas."""
@@ -291,8 +317,8 @@ def propagate(spark: SparkSession, lake: Lakehouse = Lakehouse()) -> int | None:
         _compute(spark, lake, run, loads, path)
         _log(spark, lake, run, COMPUTED, loads, path)
     _swap(spark, lake, path)
-    for mart, df in marts(spark, lake).items():
-        _save(df, f"{lake.mart}.{mart}")
+    sums = marts(spark, lake)
+    _side_by_side(lambda mart: _save(sums[mart], f"{lake.mart}.{mart}"), MART_TABLES)
     _log(spark, lake, run, DONE, loads, None)
     discard(spark, path)
     return run

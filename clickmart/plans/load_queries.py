@@ -163,7 +163,7 @@ def pipeline_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     events, root, lake = load_events(spark, sf_dir), _root(spark), _lakehouse()
     first, last = _days(events)
-    bound = first + (last - first) * 2 / 3
+    bound = first + dt.timedelta(days=(last - first).days * 2 // 3)
     before = lambda t: F.col("ts") < F.lit(t).cast("timestamp_ntz")
     late, in_first = F.col("event_id") % 7 == 3, before(first + dt.timedelta(days=1))
     landing.deliver(events.where(~late & before(bound) & (~in_first | (F.col("event_id") % 2 == 0))), root)
