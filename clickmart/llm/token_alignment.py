@@ -97,6 +97,7 @@ class Tokenizers:
         self.bytes_a = sorted(ranks, key=ranks.__getitem__)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+        self.kind = np.uint16 if max(len(self.bytes_a), len(self.bytes_b)) <= 1 << 16 else np.uint32
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -156,8 +157,12 @@ def _tokenizers(key: str, shared) -> Tokenizers:
     return _LOADED[key]
 
 
+def _loaded(bpe_path: str | None, pieces_path: str | None) -> Tokenizers:
+    return Tokenizers(_file(bpe_path, "byte_bpe_50k.json"), _file(pieces_path, "piece_bpe_32k.model"))
+
+
 def packed(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None = None) -> DataFrame:
-    """row (a number of its own), doc_id, the ids a and b (32 bits each) and a bit for each token that ends a group."""
+    """row (a number of its own), doc_id, the ids a and b (16 bits each, 32 for a larger vocabulary) and a bit for each token that ends a group."""
     shared = docs.sparkSession.sparkContext.broadcast((_file(bpe_path, "byte_bpe_50k.json"), _file(pieces_path, "piece_bpe_32k.model")))
     key = uuid.uuid4().hex
 
@@ -170,7 +175,7 @@ def packed(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None
                 bits = [np.zeros(len(x), bool) for x in (a, b)]
                 for bit, at in zip(bits, cuts, strict=True):
                     bit[at - 1] = True
-                cells.append((a.tobytes(), b.tobytes(), *(np.packbits(bit).tobytes() for bit in bits)))
+                cells.append((a.astype(t.kind).tobytes(), b.astype(t.kind).tobytes(), *(np.packbits(bit).tobytes() for bit in bits)))
             yield pa.RecordBatch.from_arrays([column(batch, "row"), column(batch, "doc_id"), *(pa.array(c, pa.binary()) for c in zip(*cells, strict=True))],
                                              names=[c.split()[0] for c in PACKED.split(", ")])
 
@@ -184,10 +189,10 @@ def _cells(cells: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint8)[at[0]:at[-1]] if raw is not None else np.zeros(0, np.uint8), at - at[0]
 
 
-def _side(part: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _side(part: pa.RecordBatch, side: str, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of one tokenizer: ids, where each row's begin, the row and the number of tokens of each group."""
     data, at = _cells(column(part, side))
-    ids, at = data.copy().view(np.int32), at // 4
+    ids, at = data.copy().view(kind).astype(np.int64), at // kind().itemsize
     bits, begin = _cells(column(part, f"last_{side}"))
     count = np.diff(at)
     last = np.unpackbits(bits)[np.arange(len(ids)) + np.repeat(8 * begin[:-1] - at[:-1], count)]
@@ -195,24 +200,26 @@ def _side(part: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.n
     return ids, at, np.searchsorted(at, ends, "left") - 1, np.diff(ends, prepend=0)
 
 
-def _blocks(batches) -> Iterator[tuple[pa.RecordBatch, tuple, list[np.ndarray]]]:
+def _blocks(batches, kind: type) -> Iterator[tuple[pa.RecordBatch, tuple, list[np.ndarray]]]:
     """Parts of packed alignments of bounded size (or one row), the flat arrays of their groups, and where each row's tokens and groups begin."""
     for batch in batches:
-        ends, lo = np.cumsum(pc.binary_length(column(batch, "a")).to_numpy(zero_copy_only=False) // 4), 0
+        ends, lo = np.cumsum(pc.binary_length(column(batch, "a")).to_numpy(zero_copy_only=False) // kind().itemsize), 0
         while lo < len(ends):
             base = ends[lo - 1] if lo else 0
             hi = max(lo + 1, min(lo + ROWS, int(np.searchsorted(ends, base + LINKS, "right"))))
             part = batch.slice(lo, hi - lo)
-            a, at_a, row, in_a = _side(part, "a")
-            b, at_b, _, in_b = _side(part, "b")
+            a, at_a, row, in_a = _side(part, "a", kind)
+            b, at_b, _, in_b = _side(part, "b", kind)
             yield part, (row, a, b, in_a, in_b), [at_a, at_b, np.searchsorted(row, np.arange(hi - lo + 1))]
             lo = hi
 
 
 def align(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None = None) -> DataFrame:
     """row (a number of its own), doc_id, the ids a and b, and how many a and b tokens each group has."""
+    kind = _loaded(bpe_path, pieces_path).kind
+
     def run(batches):
-        for part, (_, a, b, in_a, in_b), (at_a, at_b, at) in _blocks(batches):
+        for part, (_, a, b, in_a, in_b), (at_a, at_b, at) in _blocks(batches, kind):
             lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32()))
                      for ends, x in ((at_a, a), (at_b, b), (at, in_a), (at, in_b))]
             yield pa.RecordBatch.from_arrays([column(part, "row"), column(part, "doc_id"), *lists], names=[c.split()[0] for c in ALIGNED.split(", ")])
@@ -258,7 +265,7 @@ def links(row: np.ndarray, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b:
     return key // top, key % top, n
 
 
-def pair_counts(alignments: DataFrame, wide: int) -> DataFrame:
+def pair_counts(alignments: DataFrame, wide: int, kind: type) -> DataFrame:
     """pair and docs, the number of rows that hold it linked."""
     def run(batches):
         def out(held):
@@ -266,7 +273,7 @@ def pair_counts(alignments: DataFrame, wide: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(docs)], names=["pair", "docs"])
 
         held, size = [], 0
-        for _, flat, _ in _blocks(batches):
+        for _, flat, _ in _blocks(batches, kind):
             held.append(np.unique(links(*flat, wide)[1], return_counts=True))
             size += len(held[-1][0])
             if size > TASK_PAIRS:
@@ -296,14 +303,14 @@ def _written(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, m
     return hashlib.sha256(b"".join(map(marks.__getitem__, out.tolist()))[:-1]).hexdigest()
 
 
-def _totals(alignments: DataFrame, heavy: tuple, wide: int, names: int) -> DataFrame:
+def _totals(alignments: DataFrame, heavy: tuple, wide: int, names: int, kind: type) -> DataFrame:
     """Per row the figures over heavy pairs, and the other pairs with their links."""
     shared = alignments.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches):
         pairs, docs, best = shared.value
         marks = [f"{i}{mark}".encode() for mark in ",|;" for i in range(names)]
-        for part, flat, at in _blocks(batches):
+        for part, flat, at in _blocks(batches, kind):
             n = part.num_rows
             row, pair, links_ = links(*flat, wide)
             place = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
@@ -326,10 +333,10 @@ def _totals(alignments: DataFrame, heavy: tuple, wide: int, names: int) -> DataF
 
 def report(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None = None, heavy_pairs: int = HEAVY_PAIRS) -> DataFrame:
     """Tokens, groups, links, links of highest count, sum of counts and a digest of the groups, per document."""
-    found = Tokenizers(_file(bpe_path, "byte_bpe_50k.json"), _file(pieces_path, "piece_bpe_32k.model"))
+    found = _loaded(bpe_path, pieces_path)
     wide, names = len(found.bytes_b), max(len(found.bytes_a), len(found.bytes_b))
     alignments = stored(packed(docs, bpe_path, pieces_path), "alignments")
-    counts = stored(pair_counts(alignments, wide), "pairs")
+    counts = stored(pair_counts(alignments, wide, found.kind), "pairs")
     first = F.expr(f"pair div {wide}")
     tops = counts.groupBy(first.alias("a")).agg(F.max("docs").alias("top"))  # at most one row an id
     counts = stored(counts.withColumn("a", first).join(F.broadcast(tops), "a").select(
@@ -338,7 +345,7 @@ def report(docs: DataFrame, bpe_path: str | None = None, pieces_path: str | None
     heavy = counts.where(F.col("docs") >= bar).toArrow().sort_by("pair")  # at most heavy_pairs rows
     light = counts.where(F.col("docs") < bar)
     sent = (heavy["pair"].to_numpy(), heavy["docs"].to_numpy(), heavy["best"].to_numpy())
-    rows = stored(_totals(alignments, sent, wide, names), "totals")
+    rows = stored(_totals(alignments, sent, wide, names, found.kind), "totals")
     more = rows.select("row", F.explode("rest").alias("r")).select("row", "r.pair", "r.n").join(light, "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("n")).otherwise(0)).alias("more_best"), F.sum(F.col("n") * F.col("docs")).alias("more_sum"))
     return rows.join(more.withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left").select(
