@@ -10,10 +10,11 @@ fan-out, so the result equals aggregating the joined rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions import event_label, hour_start, is_product, product_name
+from clickmart.session import cut
 
 
 def _purchases_by_session_hour(purchases: DataFrame) -> DataFrame:
@@ -106,6 +107,61 @@ def users_segments(devices: DataFrame, conversion: DataFrame) -> DataFrame:
             .agg(F.countDistinct("user_custom_id").alias("users")))
 
 
+# ---- mergeable user sets (M7 over any range of hours) -------------------------
+# A distinct count cannot be added up, sets can. Users are numbered once, and the
+# sets are kept per hour and segment, as exact bitmaps or as sketches.
+
+SEGMENT = ("os_name", "device_type", "utm_source")
+
+
+def user_numbers(devices: DataFrame) -> DataFrame:
+    """user_custom_id and a number of its own for every user, close to dense (stored: the numbers stay)."""
+    users = devices.select("user_custom_id").where(F.col("user_custom_id").isNotNull()).distinct()
+    per_part = cut(users.select("user_custom_id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id")), "users")
+    sizes = per_part.groupBy("part").agg(F.count("*").alias("n"))
+    begin = sizes.withColumn("begin", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
+    return per_part.join(F.broadcast(begin.select("part", F.coalesce("begin", F.lit(0)).alias("begin"))), "part").select(
+        "user_custom_id", (F.col("begin") + F.col("id").bitwiseAND((1 << 33) - 1)).alias("user"))
+
+
+def _hourly_users(devices: DataFrame, conversion: DataFrame, events: DataFrame) -> DataFrame:
+    """Distinct hour, segment and user of the sessions' clicks; sessions without a click have a null hour."""
+    hours = events.select("session_id", hour_start("event_timestamp").alias("date_part")).distinct()
+    d = devices.select("session_id", "os_name", "device_type", "user_custom_id").distinct()
+    c = conversion.select("session_id", "utm_source").distinct()
+    return d.join(c, "session_id").join(hours, "session_id", "left").select("date_part", *SEGMENT, "user_custom_id").distinct()
+
+
+def user_sets(devices: DataFrame, conversion: DataFrame, events: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Exact bitmaps of users per hour and segment: date_part, segment, bucket (of 32,768 users), bits.
+
+    A segment whose users are all null has a row without bucket."""
+    rows = _hourly_users(devices, conversion, events).join(numbers, "user_custom_id", "left")
+    return rows.groupBy("date_part", *SEGMENT, F.bitmap_bucket_number("user").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("user")).alias("bits"))
+
+
+def users_segments_merged(sets: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Distinct users per segment over a range of hours (inclusive; none: all), from the union of the hours' bitmaps."""
+    if start is not None:
+        sets = sets.where(F.col("date_part") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        sets = sets.where(F.col("date_part") <= F.lit(end).cast("timestamp_ntz"))
+    united = sets.groupBy(*SEGMENT, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return united.groupBy(*SEGMENT).agg(F.sum(F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits")).otherwise(0)).alias("users"))
+
+
+def user_sketches(devices: DataFrame, conversion: DataFrame, events: DataFrame, lg_config_k: int = 12) -> DataFrame:
+    """Opt-in: HyperLogLog sketches of users per hour and segment (error about 1.04 / sqrt(2 ** lg_config_k))."""
+    rows = _hourly_users(devices, conversion, events)
+    return rows.groupBy("date_part", *SEGMENT).agg(F.hll_sketch_agg("user_custom_id", F.lit(lg_config_k)).alias("sketch"))
+
+
+def users_segments_estimated(sketches: DataFrame) -> DataFrame:
+    """Estimated distinct users per segment from the union of the hours' sketches."""
+    return sketches.groupBy(*SEGMENT).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("users"))
+
+
 # ---- the same marts straight from the feeds ---------------------------------
 # transitions is the browser x location join on event_id; a count over it is,
 # per event_id, (browser rows) x (location rows). Counting each side per

@@ -343,6 +343,27 @@ UNION ALL SELECT 'top_performing_products', count(*) FROM m_products
 UNION ALL SELECT 'users_segments_agg', count(*) FROM m_users
 UNION ALL SELECT 'users_purchases_segments_agg', count(*) FROM m_users_purchases"""
 
+BODIES["mart_users_segments_merged"] = BODIES["mart_users_segments"]
+BODIES["mart_users_segments_range"] = f"""
+SELECT d.os_name, d.device_type, c.utm_source, count(DISTINCT d.user_custom_id) AS users
+FROM s_devices d JOIN s_conversion c ON c.session_id = d.session_id JOIN s_events e ON e.session_id = d.session_id
+WHERE date_trunc('hour', e.event_timestamp) BETWEEN TIMESTAMP '{P.REPORT_START}' AND TIMESTAMP '{P.REPORT_END}'
+GROUP BY ALL"""
+# every chain of pages in order, by self-joins
+BODIES["explore_session_funnel"] = """
+SELECT device_type, CAST(step AS INTEGER) AS step, name, count(DISTINCT session_id) AS sessions
+FROM (SELECT DISTINCT session_id, device_type FROM s_devices) JOIN (
+  WITH p AS (SELECT session_id, event_timestamp AS t, CASE WHEN page_url_path LIKE '/product_%' THEN 0 WHEN page_url_path = '/cart' THEN 1
+                    WHEN page_url_path = '/payment' THEN 2 WHEN page_url_path = '/confirmation' THEN 3 END AS step FROM s_transitions)
+  SELECT session_id, 0 AS step, 'product' AS name FROM p WHERE step = 0
+  UNION ALL SELECT a.session_id, 1, 'cart' FROM p a JOIN p b ON a.session_id = b.session_id AND a.t < b.t WHERE a.step = 0 AND b.step = 1
+  UNION ALL SELECT a.session_id, 2, 'payment' FROM p a JOIN p b ON a.session_id = b.session_id AND a.t < b.t
+            JOIN p c ON b.session_id = c.session_id AND b.t < c.t WHERE a.step = 0 AND b.step = 1 AND c.step = 2
+  UNION ALL SELECT a.session_id, 3, 'confirmation' FROM p a JOIN p b ON a.session_id = b.session_id AND a.t < b.t
+            JOIN p c ON b.session_id = c.session_id AND b.t < c.t JOIN p d ON c.session_id = d.session_id AND c.t < d.t
+            WHERE a.step = 0 AND b.step = 1 AND c.step = 2 AND d.step = 3) USING (session_id)
+GROUP BY ALL"""
+
 # A file per feed and day, named by the day's first hour; the load report has one day more.
 _DAYS = """
 SELECT f.feed, d.day, coalesce(n.rows, 0) AS n, coalesce(n.broken, 0) AS broken, coalesce(n.even, 0) AS even

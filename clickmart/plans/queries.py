@@ -128,6 +128,20 @@ def _m7(k: Lake):
     return marts.users_segments(k.stage["devices"], k.stage["conversion"])
 
 
+@register("mart_users_segments_merged")
+def _m7_merged(k: Lake):
+    """M7 from mergeable sets: exact bitmaps of users per hour and segment, united over all hours."""
+    sets = marts.user_sets(k.stage["devices"], k.stage["conversion"], k.stage["events"], marts.user_numbers(k.stage["devices"]))
+    return marts.users_segments_merged(sets)
+
+
+@register("mart_users_segments_range")
+def _m7_range(k: Lake):
+    """M7 over the report's range of hours, from the same sets."""
+    sets = marts.user_sets(k.stage["devices"], k.stage["conversion"], k.stage["events"], marts.user_numbers(k.stage["devices"]))
+    return marts.users_segments_merged(sets, P.REPORT_START, P.REPORT_END)
+
+
 # ---- exploration ---------------------------------------------------------
 @register("explore_wide_events")
 def _e1(k: Lake):
@@ -154,6 +168,11 @@ def _e5(k: Lake):
     return explore.ip_detail(k.geo, k.device, k.browser, P.DETAIL_IP)
 
 
+@register("explore_session_funnel")
+def _funnel(k: Lake):
+    return explore.session_funnel(k.stage["transitions"], k.stage["devices"])
+
+
 # ---- reports -------------------------------------------------------------
 def _events_filtered(k: Lake) -> DataFrame:
     ev = report.date_range(k.marts["events_distribution_hourly"], P.REPORT_START, P.REPORT_END)
