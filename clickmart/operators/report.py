@@ -92,6 +92,8 @@ def pivot_sum(df: DataFrame, index: str, column: str, value: str,
     """index x column -> sum(value), NULL column keys dropped, empty cells 0.
     Pass ``values`` (the pivot columns) to avoid Spark's extra distinct pass."""
     kept = df.where(F.col(column).isNotNull() & F.col(index).isNotNull())
+    if values is not None and not values:
+        return kept.where(F.lit(False)).select(index)
     g = kept.groupBy(index)
     p = g.pivot(column, list(values)) if values is not None else g.pivot(column)
     out = p.agg(F.sum(value))
@@ -173,8 +175,18 @@ def source_totals(conversions: DataFrame, start: TimeLike | None = None,
 
 def source_pivot(conversions: DataFrame, sources: Sequence[str] | None = None,
                  start: TimeLike | None = None, end: TimeLike | None = None) -> DataFrame:
-    """Hour x utm_source -> sum(sm)."""
-    return pivot_sum(date_range(conversions, start, end), "date_part", "utm_source", "sm", sources)
+    """Hour x utm_source -> sum(sm).
+
+    Without a list every source of the range is a column: the range is stored,
+    its sources are listed (as many as the result has columns, without the
+    limit of an inferred pivot) and then summed up.
+    """
+    kept = date_range(conversions, start, end)
+    if sources is None:
+        kept = cut(kept, "source-pivot")
+        names = kept.select("utm_source").where(F.col("utm_source").isNotNull()).distinct()
+        sources = sorted(r[0] for r in names.collect())
+    return pivot_sum(kept, "date_part", "utm_source", "sm", sources)
 
 
 def users_filter(df: DataFrame, os_names: Sequence | None = None, device_types: Sequence | None = None,

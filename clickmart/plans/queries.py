@@ -235,9 +235,7 @@ def _r10(k: Lake):
 
 @register("report_source_pivot")
 def _r11(k: Lake):
-    # the range is stored: the pivot first lists its sources, then sums
-    kept = report.date_range(k.marts["click_conversion_rates_hourly"], P.REPORT_START, P.REPORT_END)
-    return report.source_pivot(kept.checkpoint(), None, P.REPORT_START, P.REPORT_END)
+    return report.source_pivot(k.marts["click_conversion_rates_hourly"], None, P.REPORT_START, P.REPORT_END)
 
 
 @register("report_users_by_source")

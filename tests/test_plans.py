@@ -7,6 +7,7 @@ import tempfile
 import pytest
 
 import __spark_entry__ as E
+from clickmart.plans import load_queries
 from clickmart.plans.queries import REGISTRY
 from clickmart.operators import marts, report, stage
 from clickmart.plans.lake import Lake
@@ -54,7 +55,7 @@ def test_purchases_uses_range_windows_not_nested_loops(spark):
     assert "NestedLoopJoin" not in txt and "CartesianProduct" not in txt
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
+@pytest.mark.parametrize("name", sorted(REGISTRY.keys() - load_queries.REGISTRY.keys()))  # those return stored tables
 def test_no_quadratic_join_operators(spark, name):
     txt = plan_text(E.queries()[name](spark, SF), "simple")
     assert "CartesianProduct" not in txt and "NestedLoopJoin" not in txt
