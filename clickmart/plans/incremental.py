@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from clickmart.functions import event_label, hour_start, is_product, product_name
 from clickmart.operators import stage
-from clickmart.plans.pipeline import MART_TABLES, STAGE_TABLES, _save
+from clickmart.plans.pipeline import MART_TABLES, STAGE_TABLES, save_together
 from clickmart.session import cut, discard, scratch_path
 from clickmart.sources import ingest, ledger, schemas
 
@@ -317,8 +317,7 @@ def propagate(spark: SparkSession, lake: Lakehouse = Lakehouse()) -> int | None:
         _compute(spark, lake, run, loads, path)
         _log(spark, lake, run, COMPUTED, loads, path)
     _swap(spark, lake, path)
-    sums = marts(spark, lake)
-    _side_by_side(lambda mart: _save(sums[mart], f"{lake.mart}.{mart}"), MART_TABLES)
+    save_together({f"{lake.mart}.{mart}": df for mart, df in marts(spark, lake).items()})
     _log(spark, lake, run, DONE, loads, None)
     discard(spark, path)
     return run

@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,18 +39,17 @@ MART_TABLES = ("campaign_purchase_analysis_hourly", "click_conversion_rates_hour
 VERSION = "__v"  # between a table's name and the time it was written
 
 
-def _save(df: DataFrame, name: str) -> DataFrame:
-    """Replace ``name`` with ``df`` and return the stored table.
-
-    The rows go to a table of their own version, then the view ``name`` is
-    pointed at it: a failed write leaves the old rows readable, and readers
-    never find a gap. The replaced version stays for those who still read it;
-    the ones before it go.
-    """
-    spark = df.sparkSession
+def _write(df: DataFrame, name: str) -> str:
+    """Write ``df`` as a new version of the table ``name``; returns the version."""
     db, table = name.split(".")
     version = f"{db}.{table}{VERSION}{time.time_ns():020d}"
     df.write.format("parquet").saveAsTable(version)
+    return version
+
+
+def _point(spark: SparkSession, name: str, version: str) -> DataFrame:
+    """Point the view ``name`` at a version, and drop all but the last two."""
+    db, table = name.split(".")
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
         spark.sql(f"DROP TABLE {name}")  # a table from before there were versions
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
@@ -59,6 +59,27 @@ def _save(df: DataFrame, name: str) -> DataFrame:
     return spark.table(version)
 
 
+def _save(df: DataFrame, name: str) -> DataFrame:
+    """Replace ``name`` with ``df`` and return the stored table.
+
+    The rows go to a table of their own version, then the view ``name`` is
+    pointed at it: a failed write leaves the old rows readable, and readers
+    never find a gap. The replaced version stays for those who still read it;
+    the ones before it go.
+    """
+    return _point(df.sparkSession, name, _write(df, name))
+
+
+def save_together(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``_save`` for several tables: all are written, side by side, before the first view moves. A failed
+    write moves none, and readers see old and new versions together only while views are moved, not while
+    tables are written."""
+    names = list(tables)
+    with ThreadPoolExecutor(max(1, len(names))) as pool:
+        versions = list(pool.map(lambda name: _write(tables[name], name), names))
+    return {name: _point(tables[name].sparkSession, name, version) for name, version in zip(names, versions, strict=True)}
+
+
 def build_stage(spark: SparkSession, raw: Mapping[str, DataFrame], db: str = "stage") -> dict[str, DataFrame]:
     """Raw feeds -> stage tables (returns the stored tables)."""
     ingest.create_layers(spark, [db])
@@ -81,7 +102,8 @@ def build_marts(spark: SparkSession, stage_tables: Mapping[str, DataFrame] | Non
     ingest.create_layers(spark, [db])
     s = stage_tables or {t: spark.table(f"{stage_db}.{t}") for t in STAGE_TABLES}
     marts = mart_tables(s)
-    return {name: _save(marts[name], f"{db}.{name}") for name in MART_TABLES}
+    saved = save_together({f"{db}.{name}": marts[name] for name in MART_TABLES})
+    return {name: saved[f"{db}.{name}"] for name in MART_TABLES}
 
 
 class MartCache:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +75,26 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+SCRATCH = ("cut", "llm", "deliveries", "incremental", "landing", "ingest-json", "ingest-raw")
+
+
+def sweep(spark: SparkSession, older_than_hours: float, kinds: Sequence[str] = SCRATCH) -> int:
+    """Remove what queries left in these folders of the scratch folder before so many hours; returns how many there were.
+
+    Stored steps belong to the query that wrote them, which may still be read:
+    ``older_than_hours`` must exceed the longest a result is used.
+    """
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    removed, before = 0, (time.time() - older_than_hours * 3600) * 1000
+    for kind in kinds:
+        top = fs.Path(scratch_path(spark, kind))
+        system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in (system.listStatus(top) if system.exists(top) else ()):
+            if found.getModificationTime() < before:
+                removed += system.delete(found.getPath(), True)
+    return removed
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read back: what follows is
     planned from the stored rows, which outlive any executor."""

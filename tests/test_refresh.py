@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
+from clickmart import session
 from clickmart.plans import pipeline
 from clickmart.sources import ingest
 
@@ -24,3 +27,23 @@ def test_refresh_swaps_and_survives_a_failed_write(spark):
     pipeline._save(spark.range(2).withColumn("more", F.lit(1)), "refresh.t")
     assert spark.table("refresh.t").columns == ["id", "more"]
     assert sum("__v" in t.name for t in spark.catalog.listTables("refresh")) == 2
+
+
+def test_marts_move_together(spark):
+    ingest.create_layers(spark, ["together"])
+    pipeline.save_together({"together.a": spark.range(1), "together.b": spark.range(1)})
+    broken = spark.range(7).select(F.when(F.col("id") < 6, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        pipeline.save_together({"together.a": spark.range(2), "together.b": broken})
+    assert spark.table("together.a").count() == spark.table("together.b").count() == 1
+    pipeline.save_together({"together.a": spark.range(3), "together.b": spark.range(4)})
+    assert (spark.table("together.a").count(), spark.table("together.b").count()) == (3, 4)
+
+
+def test_scratch_is_swept(spark):
+    kind = f"sweep-{uuid.uuid4().hex}"
+    for name in "ab":
+        spark.range(3).write.parquet(session.scratch_path(spark, kind, name))
+    assert session.sweep(spark, 24, [kind]) == 0
+    assert spark.read.parquet(session.scratch_path(spark, kind, "a")).count() == 3
+    assert session.sweep(spark, -1, [kind]) == 2 and session.sweep(spark, -1, [kind]) == 0
