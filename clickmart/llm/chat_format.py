@@ -7,56 +7,76 @@ conversation goes if more conversations pass through its full hash than end
 there (it prefixes a longer one), and equal conversations leave the smallest
 conv_id. What remains is rendered.
 
-The running position and XOR use two levels (buckets of turns, then turns in a
-bucket), so a conversation with a third of all turns is spread over tasks, and
+The running position and XOR use nested levels (buckets of turn numbers, turn
+numbers, slices of a hash among rows of one number, rows of a slice): what is
+before a level's cell is summed over cells, so neither a conversation with a
+third of all turns nor a turn number with as many rows comes to one task, and
 rendering cuts conversations into parts of PART_TURNS turns.
 
 Defined results: a null conv_id is one conversation of its own; a null turn
 sorts first; null role or text differ from empty ones and render as empty;
-repeated rows count once; turns of one number are ordered by a hash of role
-and text; an empty table returns no rows; other columns are ignored.
+repeated rows count once; turns of one number (or none) are ordered by a hash
+of role and text; very long texts are hashed and rendered whole (a part is one
+row of at most 2 GB); an empty table returns no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import stored
 
 BUCKET_TURNS = 1024
+SLICE_BITS = 12  # of the hash that orders rows of one turn number
 PART_TURNS = 64
 HASHES = ("x1", "x2")
+LEVELS = ("bucket", "turn", "slice")
+
+
+def _with_before(rows: DataFrame, value: str, add, join, zero) -> DataFrame:
+    """``rows`` with ``{value}_before``: the values of all rows of the conversation in earlier cells, level by level.
+
+    ``add`` is the aggregate that adds values up, ``join`` adds two columns.
+    """
+    keys = ["conv_id", *LEVELS]
+    cells = stored(rows.groupBy(*keys).agg(add(value).alias(value)), f"cells-{value}")
+    total = zero
+    out = cells.select(*keys)
+    for depth in range(len(LEVELS), 0, -1):
+        inner, outer = keys[:depth + 1], keys[:depth]
+        before = Window.partitionBy(*outer).orderBy(inner[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        each = cells.groupBy(*inner).agg(add(value).alias("own")).select(
+            *[F.col(k).alias(f"_{k}") for k in inner], F.coalesce(add("own").over(before), zero).alias(f"before_{depth}"))
+        out = out.join(each, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in inner])).drop(*[f"_{k}" for k in inner])
+        total = join(total, F.col(f"before_{depth}"))
+    cells = stored(out.select(*[F.col(k).alias(f"_{k}") for k in keys], total.alias(f"{value}_before")), f"before-{value}")
+    return rows.join(cells, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])).drop(*[f"_{k}" for k in keys])
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
     """conv_id, pos (1, 2, ...), role, text and the rolling hash (x1, x2) up to each turn."""
     parts = ["conv_id", "turn", "role", "text"]
-    rows = turns.select(*parts).groupBy(*parts).agg(F.lit(1).alias("one")).select(
-        *parts, F.coalesce(F.floor(F.col("turn") / BUCKET_TURNS), F.lit(-1 << 40)).alias("bucket"),
+    rows = turns.select(*parts).groupBy(*parts).agg(F.lit(1).cast("long").alias("one")).select(
+        *parts, "one", F.coalesce(F.floor(F.col("turn") / BUCKET_TURNS), F.lit(-1 << 40)).alias("bucket"),
         F.xxhash64("role", F.col("role").isNull(), "text", F.col("text").isNull()).alias("c1"),
         F.xxhash64(F.lit(7), "text", F.col("text").isNull(), "role", F.col("role").isNull()).alias("c2"))
-    rows = stored(rows, "rows")
-    before = Window.partitionBy("conv_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    own = [F.col("conv_id").alias("c"), F.col("bucket").alias("b")]
-
-    def join(many: DataFrame, each: DataFrame) -> DataFrame:
-        return many.join(each, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("bucket") == F.col("b"))).drop("c", "b")
-
-    sizes = rows.groupBy("conv_id", "bucket").agg(F.count("*").alias("n")).select(
-        *own, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("conv_id", "bucket").orderBy("turn", "c1", "c2")
-    placed = join(rows, sizes).withColumn("pos", F.col("first") + F.row_number().over(inside))
-    placed = stored(placed.select("conv_id", "bucket", "pos", "role", "text",
+    rows = stored(rows.withColumn("slice", F.shiftright("c1", 64 - SLICE_BITS)), "rows")
+    cell = Window.partitionBy("conv_id", *LEVELS)
+    zero = F.lit(0).cast("long")
+    placed = _with_before(rows, "one", F.sum, Column.__add__, zero).withColumn(
+        "pos", F.col("one_before") + F.row_number().over(cell.orderBy("c1", "c2")))
+    placed = stored(placed.select("conv_id", *LEVELS, "pos", "role", "text",
                                   F.xxhash64("pos", "c1", "c2").alias("h1"),
                                   F.xxhash64(F.lit(3), "c2", "pos", "c1").alias("h2")), "turns")
-    sums = placed.groupBy("conv_id", "bucket").agg(F.bit_xor("h1").alias("b1"), F.bit_xor("h2").alias("b2")).select(
-        *own, *[F.coalesce(F.bit_xor(x).over(before), F.lit(0).cast("long")).alias(f"{x}_before") for x in ("b1", "b2")])
-    upto = Window.partitionBy("conv_id", "bucket").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return join(placed, sums).select(
+    for h in ("h1", "h2"):
+        placed = _with_before(placed, h, F.bit_xor, Column.bitwiseXOR, zero)
+    upto = cell.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.select(
         "conv_id", "pos", "role", "text",
-        F.bit_xor("h1").over(upto).bitwiseXOR(F.col("b1_before")).alias("x1"),
-        F.bit_xor("h2").over(upto).bitwiseXOR(F.col("b2_before")).alias("x2"))
+        *[F.bit_xor(h).over(upto).bitwiseXOR(F.col(f"{h}_before")).alias(x) for h, x in zip(("h1", "h2"), HASHES, strict=True)])
 
 
 def maximal(rolled: DataFrame) -> DataFrame:
