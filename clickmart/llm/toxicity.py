@@ -38,7 +38,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,8 @@ BLOCK = 64  # texts compared at a time
 BLOCK_EXAMPLES = 64
 FIRST_BLOCKS = 3  # a text's best blocks, added up before others are skipped
 FREQUENT = 1024  # terms, those in most examples, have greatest weights by block
+PREPARED_EXAMPLES = 256  # and
+PREPARED_POSTINGS = 1 << 19  # put into the index at a time
 COMPONENTS = 8  # main components that order the examples
 ROUNDING = 2e-4  # bounds the error of sums of single-precision products, of the two scores compared
 SMOOTH = 0.5  # similarity that votes for clean
@@ -136,22 +138,32 @@ class Model:
         n = len(self.ids)
         if self.order is None:
             self.order = np.arange(n)
-        size = np.diff(self.rows)
-        example = np.repeat(np.arange(n, dtype=np.int32), size)
-        w = (1 + np.log(self.counts, dtype=float)) * self.weight[self.terms]
-        self.lengths = np.sqrt(np.bincount(example, w * w, n))
-        w = (w / self.lengths[example]).astype(np.float32)
         place = np.empty(n, np.int32)
         place[self.order] = np.arange(n)
-        place, often = place[example], self.terms < FREQUENT
-        frequent = np.zeros((min(FREQUENT, len(self.weight)), -(-n // BLOCK_EXAMPLES) * BLOCK_EXAMPLES), np.float32)  # terms x places
-        frequent[self.terms[often], place[often]] = w[often]
-        rare = np.flatnonzero(~often)
-        rare = rare[np.argsort(self.terms[rare], kind="stable")]
-        self.places, self.impacts = place[rare].astype(np.uint16 if n <= 1 << 16 else np.int32), w[rare]
-        self.lists = np.append(0, np.cumsum(np.bincount(self.terms[rare], minlength=len(self.weight)))).astype(np.int64)
-        self.frequent, self.query = frequent, np.zeros(len(self.weight))
-        self.most = frequent.reshape(len(frequent), -1, BLOCK_EXAMPLES).max(2)
+        small = np.uint16 if n <= 1 << 16 else np.int32
+        self.lengths, places, weights = np.zeros(n), np.empty(len(self.terms), small), np.empty(len(self.terms), np.float32)
+        self.frequent = np.zeros((min(FREQUENT, len(self.weight)), -(-n // BLOCK_EXAMPLES) * BLOCK_EXAMPLES), np.float32)  # terms x places
+        for lo in range(0, n, PREPARED_EXAMPLES):  # some at a time: temporary arrays are a small part of what is kept
+            ends = self.rows[lo:lo + PREPARED_EXAMPLES + 1]
+            part, example = slice(ends[0], ends[-1]), np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            term = self.terms[part]
+            w = (1 + np.log(self.counts[part], dtype=float)) * self.weight[term]
+            self.lengths[lo:lo + len(ends) - 1] = np.sqrt(np.bincount(example, w * w, len(ends) - 1))
+            places[part], weights[part] = place[lo + example], w / self.lengths[lo + example]
+            often = term < FREQUENT
+            self.frequent[term[often], places[part][often]] = weights[part][often]
+        sizes = np.bincount(self.terms, minlength=len(self.weight))
+        sizes[:FREQUENT] = 0
+        self.lists = np.append(0, np.cumsum(sizes)).astype(np.int64)
+        self.places, self.impacts = np.empty(self.lists[-1], small), np.empty(self.lists[-1], np.float32)
+        cuts = np.searchsorted(self.lists, np.arange(0, max(1, self.lists[-1]), PREPARED_POSTINGS))
+        for first, last in zip(cuts, np.append(cuts[1:], len(self.weight)), strict=True):
+            own = np.flatnonzero((self.terms >= max(first, FREQUENT)) & (self.terms < last))
+            own = own[np.argsort(self.terms[own], kind="stable")]
+            to = slice(self.lists[first], self.lists[last])
+            self.places[to], self.impacts[to] = places[own], weights[own]
+        self.query = np.zeros(len(self.weight))
+        self.most = self.frequent.reshape(len(self.frequent), -1, BLOCK_EXAMPLES).max(2)
 
     def pack(self) -> None:
         """Order the examples by likeness, by the signs of their main components over the frequent terms, and keep small numbers small."""
@@ -362,11 +374,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
 
     rows = sample.mapInArrow(run, "doc_id long, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("doc_id")
     empty.destroy()
+    del words, vocabulary, df
     model.ids, model.labels = rows["doc_id"].to_numpy(), rows["toxic"].to_numpy()
     model.rows = np.append(0, np.cumsum(pc.list_value_length(rows["terms"]).to_numpy())).astype(np.int64)
     model.terms, model.counts = pc.list_flatten(rows["terms"]).to_numpy(), pc.list_flatten(rows["counts"]).to_numpy()
+    del rows
     model.pack()
-    filled = context.broadcast(model)
+    filled = context.broadcast(replace(model, vocabulary={}))  # votes need no words
 
     def votes(batches):
         m = filled.value
