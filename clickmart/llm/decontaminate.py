@@ -12,6 +12,8 @@ read once a block; this is the way beyond the bound, and nothing is left out.
 Defined results: null, empty or word-free texts have 0 words and are clean; a
 null or word-free item is no pattern; a null item_id is matched but not named;
 items with equal windows are all reported; repeated rows return once each;
+very long texts are read whole, alone if above SLICE_BYTES; a very long item is
+one block by itself, at about 50 bytes of memory a character of its windows;
 empty tables return no rows or no hits; other columns are ignored.
 """
 
@@ -31,7 +33,7 @@ from clickmart.llm.common import column, slices, stored
 
 WINDOW = 13
 HIT_SHARE = 20  # contaminated if n_hit * HIT_SHARE >= n_words
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 4 << 20  # an automaton of so many takes about 200 MB in a task
 # A-Z to a-z; 0-9, a-z and bytes of non-ASCII characters stay; the rest are blanks.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 WORD = re.compile(rb"[^ ]+")

@@ -8,8 +8,10 @@ extra: its failures are combined before the shuffle and the join's other side
 has one row per host (broadcast if small, else split by AQE).
 
 Defined results: a null or blank text has no words and fails the base rule; a
-null host has no host verdict; repeated rows count and return once each; an
-empty table returns no rows; other columns of the input are ignored.
+null host has no host verdict; hosts with the same figures get the same verdict;
+repeated rows count and return once each; a very long text is split into words
+in its own row (about ten times its bytes); an empty table returns no rows;
+other columns of the input are ignored.
 """
 
 from __future__ import annotations

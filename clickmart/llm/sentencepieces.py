@@ -15,8 +15,9 @@ into blanks again.
 
 Defined results: a null text has null ids, an empty one no pieces; unknown
 characters become byte pieces; a text that holds U+2581 itself decodes to a
-blank there (round_trip is false); repeated rows return once each; other
-columns are ignored.
+blank there (round_trip is false); repeated rows return once each; an empty
+table returns no rows; very long texts are encoded whole, alone if above
+SLICE_BYTES; other columns are ignored.
 """
 
 from __future__ import annotations
