@@ -7,7 +7,8 @@ in the vocabulary. A term weighs its inverse document frequency, counted over
 all documents, times z of its share in toxic against clean examples where that
 is over 1: no term is left out, and a word too rare to be judged keeps its
 plain weight. Texts become TF-IDF vectors whose length takes all their terms;
-those of no example count as held by this document alone.
+those of no example count as held by this document alone. Tasks know terms by
+64-bit hashes.
 
 Neighbours are found in a block-max inverted index. Examples stand in an order
 of likeness (by the signs of their main components), in blocks of BLOCK_EXAMPLES.
@@ -38,11 +39,13 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,10 +68,32 @@ REJECT = 0.3
 PREPARED = ("lengths", "places", "impacts", "lists", "frequent", "most", "query")
 
 
-def term_counts(texts: pa.Array, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+class Numbers:
+    """The numbers of known terms, by 64-bit hashes: 12 bytes a term in every task, where a dictionary takes over 100."""
+
+    def __init__(self, terms: Iterable[bytes]):
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.numbers = hashes[order], order.astype(np.int32)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def of(self, terms: list[bytes]) -> np.ndarray:
+        """Number of each term; unknown ones are numbered after the known."""
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64, len(terms))
+        place = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self) - 1, 0))
+        known = self.hashes[place] == hashes if len(self) else np.zeros(len(hashes), bool)
+        out = np.empty(len(hashes), np.int64)
+        out[known] = self.numbers[place[known]]
+        out[~known] = len(self) + np.unique(hashes[~known], return_inverse=True)[1]
+        return out
+
+
+def term_counts(texts: pa.Array, known: Numbers | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """(row, term number, count) of the words and of the beginnings of longer words, sorted by row and term.
 
-    Terms out of the vocabulary are numbered after it, in the order of the returned list.
+    Terms are numbered by ``known``, or else in the order of the returned list.
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
@@ -79,19 +104,22 @@ def term_counts(texts: pa.Array, vocabulary: dict[bytes, int]) -> tuple[np.ndarr
     row = np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(split)))
     full = np.asarray(pc.binary_length(words)) > 0
     coded = words.filter(pa.array(full)).dictionary_encode()
-    new: dict[bytes, int] = {}
-    known, first = vocabulary.get, len(vocabulary)
-
-    def number(term: bytes) -> int:
-        i = known(term)
-        return first + new.setdefault(term, len(new)) if i is None else i
-
-    a, b = BEGINNINGS
-    numbers = np.array([(number(w), number(w[:a] + b"*") if len(w) > a else -1, number(w[:b] + b"*") if len(w) > b else -1)
-                        for w in coded.dictionary.to_pylist()], np.int64).reshape(-1, 3)[np.asarray(coded.indices)]
-    width = first + len(new)
+    terms = coded.dictionary.to_pylist()
+    size, n_words, numbers = np.array([len(w) for w in terms], np.int64), len(terms), np.full((len(terms), 1 + len(BEGINNINGS)), -1, np.int64)
+    for k in BEGINNINGS:
+        terms += [w[:k] + b"*" for w in terms[:n_words] if len(w) > k]
+    names = [] if known is not None else list(dict.fromkeys(terms))
+    found = known.of(terms) if known is not None else np.array([*map({t: i for i, t in enumerate(names)}.__getitem__, terms)], np.int64)
+    at = n_words
+    numbers[:, 0] = found[:n_words]
+    for j, k in enumerate(BEGINNINGS, 1):
+        long = np.flatnonzero(size > k)
+        numbers[long, j] = found[at:at + len(long)]
+        at += len(long)
+    numbers = numbers[np.asarray(coded.indices)]
+    width = max(int(found.max(initial=-1)) + 1, 1)
     key, n = np.unique((row[full][:, None] * width + numbers)[numbers >= 0], return_counts=True)
-    return key // max(width, 1), key % max(width, 1), n, list(new)
+    return key // width, key % width, n, names
 
 
 def spread(ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,21 +143,27 @@ class Model:
     rows: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # ends of the examples' vectors, after a 0
     terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    known: Numbers | None = None  # of the vocabulary
     order: np.ndarray | None = None  # the examples in the order of likeness
     steps: np.ndarray = field(default_factory=lambda: np.full(1, -1.0))  # calibration: raw vote
     values: np.ndarray = field(default_factory=lambda: np.zeros(1))  # and probability
 
     def __getstate__(self) -> dict:
         """What tasks are sent: the vectors as packed numbers and counts, without what ``prepare`` makes of them."""
-        state = {k: v for k, v in self.__dict__.items() if k not in PREPARED}
-        return state | {k: (state[k].dtype.str, zlib.compress(state[k].tobytes(), 1)) for k in ("terms", "counts")} | {"vocabulary": list(self.vocabulary)}
+        state = {k: v for k, v in self.__dict__.items() if k not in (*PREPARED, "vocabulary")}
+        return state | {k: (state[k].dtype.str, zlib.compress(state[k].tobytes(), 1)) for k in ("terms", "counts")} | {"known": self.numbers()}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        self.vocabulary = {t: i for i, t in enumerate(state["vocabulary"])}
+        self.vocabulary = {}  # tasks have the numbers only
         for k in ("terms", "counts"):
             setattr(self, k, np.frombuffer(zlib.decompress(state[k][1]), state[k][0]))
 
+    def numbers(self) -> Numbers:
+        if self.known is None:
+            self.known = Numbers(self.vocabulary)
+        return self.known
+
     def prepare(self) -> None:
         """Lengths of the examples' vectors, and their index by term: lists of rare terms, and of frequent ones the weights and
         the greatest weight in each block. Places in the index are those of ``order``, filled up to whole blocks."""
@@ -184,7 +218,7 @@ class Model:
 
     def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Terms and weights of every text; all its terms count in its length, those of the examples are returned."""
-        row, term, n, _ = term_counts(texts, self.vocabulary)
+        row, term, n, _ = term_counts(texts, self.numbers())
         seen = term < len(self.weight)
         w = (1 + np.log(n)) * np.append(self.weight, self.unseen)[np.minimum(term, len(self.weight))]
         w = (w / np.sqrt(np.bincount(row, w * w, len(texts)))[row])[seen]
@@ -316,7 +350,7 @@ def _vocabulary(sample: DataFrame, n: list[int]) -> tuple[list[bytes], np.ndarra
     """All terms of the examples, from the one in most examples to the rarest, and z of their share in toxic against clean ones."""
     def run(batches):
         for batch in slices(batches):
-            row, term, _, names = term_counts(column(batch, "text"), {})
+            row, term, _, names = term_counts(column(batch, "text"))
             toxic = np.bincount(term, column(batch, "toxic").to_numpy()[row], len(names)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(np.bincount(term, minlength=len(names)) - toxic, pa.int64()),
                                               pa.array(toxic, pa.int64())], names=["term", "clean", "toxic"])
@@ -329,9 +363,9 @@ def _vocabulary(sample: DataFrame, n: list[int]) -> tuple[list[bytes], np.ndarra
     return found["term"].to_pylist(), (toxic / n[1] - clean / n[0]) / np.sqrt(share * (1 - share + 1e-9) * (1 / n[0] + 1 / n[1]))
 
 
-def _frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray]:
+def _frequencies(docs: DataFrame, known: Numbers) -> tuple[int, np.ndarray]:
     """The number of documents, and of documents with each term."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         v, rows = shared.value, 0
@@ -347,7 +381,7 @@ def _frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[int, np
     found = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     shared.destroy()
     term, n = found["term"].to_numpy(), found["n"].to_numpy()
-    df = np.zeros(len(vocabulary))
+    df = np.zeros(len(known))
     df[term[term >= 0]] = n[term >= 0]
     return int(n[term < 0].sum()), df
 
@@ -359,20 +393,21 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     used = [min(x, per_class) for x in n]
     words, z = _vocabulary(sample, used)
     vocabulary = {t: i for i, t in enumerate(words)}
-    total, df = _frequencies(docs, vocabulary)
-    model = Model(vocabulary, (np.log((1 + total) / (1 + df)) + 1) * np.maximum(z, 1), math.log((1 + total) / 2) + 1)
+    known = Numbers(words)
+    total, df = _frequencies(docs, known)
+    model = Model(vocabulary, (np.log((1 + total) / (1 + df)) + 1) * np.maximum(z, 1), math.log((1 + total) / 2) + 1, known=known)
     context = docs.sparkSession.sparkContext
     empty = context.broadcast(model)
 
     def run(batches):
         for batch in slices(batches):
-            row, term, count, _ = term_counts(column(batch, "text"), empty.value.vocabulary)
+            row, term, count, _ = term_counts(column(batch, "text"), empty.value.known)
             ends = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc_id"), column(batch, "toxic"), *(pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (term, count))],
                 names=["doc_id", "toxic", "terms", "counts"])
 
-    rows = sample.mapInArrow(run, "doc_id long, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("doc_id")
+    rows = sample.mapInArrow(run, "doc_id long, toxic int, terms array<int>, counts array<int>").orderBy("doc_id").toArrow()
     empty.destroy()
     del words, vocabulary, df
     model.ids, model.labels = rows["doc_id"].to_numpy(), rows["toxic"].to_numpy()
@@ -380,7 +415,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     model.terms, model.counts = pc.list_flatten(rows["terms"]).to_numpy(), pc.list_flatten(rows["counts"]).to_numpy()
     del rows
     model.pack()
-    filled = context.broadcast(replace(model, vocabulary={}))  # votes need no words
+    filled = context.broadcast(replace(model, vocabulary={}, known=Numbers([])))  # votes need no words
 
     def votes(batches):
         m = filled.value
@@ -431,4 +466,11 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def remove_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, unchanged."""
-    return score(docs, labels).where("predicted = 0").select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+
+    def run(batches):
+        for batch in slices(batches):
+            found = shared.value.scores(column(batch, "text"))
+            yield batch.filter(pa.array([s < REJECT for s, _ in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
