@@ -2,6 +2,14 @@
 
 Each stage works on all documents its predecessor kept. All but the last
 return the columns of ``documents``; the last returns the token ids.
+
+Defined results of every stage: a null or empty text is kept (it is not toxic,
+near to nothing, without passages and clean) and has null ids or none; a null
+doc_id is kept and is near to nothing; of rows that repeat a document the
+first stages keep all with the smallest doc_id, and the third takes the words
+of copies that are left; very long texts are handled whole, alone in their
+task; empty tables give empty results; further columns, whatever their names,
+are kept as they are.
 """
 
 from __future__ import annotations
@@ -14,7 +22,8 @@ from clickmart.llm.common import stored, table
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the nearest labelled examples call toxic go."""
+    """Documents that the nearest labelled examples call toxic go; without labelled rows of both classes nothing
+    is learned (all of one class: all of it)."""
     return toxicity.remove_toxic(docs, table(spark, sf_dir, "labels"))
 
 
