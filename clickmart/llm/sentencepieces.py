@@ -38,6 +38,7 @@ MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 TAIL = re.compile(r"(?<=[^\W_])\W+$")
 CACHE_WORDS = 600_000
+CACHE_PAIRS = 2_000_000
 CACHE_CHARS = 20_000_000  # a text without blanks is one word
 REPORT = "doc_id long, n_words long, n_pieces long, n_byte_pieces long, ids_sha256 string, round_trip boolean"
 
@@ -72,6 +73,7 @@ class Encoder:
         self.joined = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}  # neighbours inside some piece
         self.words: dict[str, bytes] = {}
         self.held = 0  # characters of the words, at least
+        self.pairs = 0  # neighbours whose answer is kept
 
     def merged(self, text: str) -> list[str]:
         """The model's merges, best score first and leftmost, on a short string."""
@@ -86,12 +88,19 @@ class Encoder:
 
     def follows(self, a: str, b: str) -> bool:
         """May piece b stand after piece a (or first, if a is empty)?"""
-        known = self.after[b]
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        known[a] = found = self.merged(a + b) == ([a, b] if a else [b])
+        if self.pairs > CACHE_PAIRS:
+            for known in self.after.values():
+                known.clear()
+            self.pairs = 0
+        self.pairs += 1
+        self.after[b][a] = found = self.merged(a + b) == ([a, b] if a else [b])
         return found
 
+    def forget(self) -> None:
+        """Release the cached words at the end of a task: the worker may go on with other work."""
+        self.words.clear()
+        self.held = 0
+
     def unknown(self, char: str) -> bytes:
         return np.array([self.byte[b] for b in char.encode("utf-8", "replace")], "<i4").tobytes()
 
@@ -182,9 +191,12 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches):
         encoder = _encoder(key, shared)
-        for batch in slices(batches):
-            ids = [None if p is None else np.frombuffer(p, "<i4") for _, p in encoder.encode_all(column(batch, "text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        try:
+            for batch in slices(batches):
+                ids = [None if p is None else np.frombuffer(p, "<i4") for _, p in encoder.encode_all(column(batch, "text").to_pylist())]
+                yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        finally:
+            encoder.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -209,16 +221,19 @@ def report(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches):
         encoder = _encoder(key, shared)
         low, high = min(encoder.byte.values()), max(encoder.byte.values())
-        for batch in slices(batches):
-            texts, rows = column(batch, "text").to_pylist(), []
-            for text, (n, packed) in zip(texts, encoder.encode_all(texts), strict=True):
-                ids = np.frombuffer(packed or b"", "<i4")
-                rows.append((n, len(ids), int(((ids >= low) & (ids <= high)).sum()),
-                             None if packed is None else hashlib.sha256(packed).hexdigest(),
-                             text is None or encoder.decode(ids.tolist()) == text))
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(),) * 3 + (pa.string(), pa.bool_()), strict=True))],
-                names=[c.split()[0] for c in REPORT.split(", ")])
+        try:
+            for batch in slices(batches):
+                texts, rows = column(batch, "text").to_pylist(), []
+                for text, (n, packed) in zip(texts, encoder.encode_all(texts), strict=True):
+                    ids = np.frombuffer(packed or b"", "<i4")
+                    rows.append((n, len(ids), int(((ids >= low) & (ids <= high)).sum()),
+                                 None if packed is None else hashlib.sha256(packed).hexdigest(),
+                                 text is None or encoder.decode(ids.tolist()) == text))
+                cols = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [column(batch, "doc_id"), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(),) * 3 + (pa.string(), pa.bool_()), strict=True))],
+                    names=[c.split()[0] for c in REPORT.split(", ")])
+        finally:
+            encoder.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, REPORT)
