@@ -78,13 +78,13 @@ def create(spark: SparkSession, lake: Lakehouse) -> None:
     ingest.create_raw_tables(spark, lake.raw)
     ingest.create_layers(spark, [lake.stage, lake.mart, lake.state])
     for name in STAGE_TABLES:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {lake.stage}.{name} ({STAGE_COLUMNS[name]}, home TIMESTAMP_NTZ) USING parquet PARTITIONED BY (home)")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {lake.stage}.{name} ({STAGE_COLUMNS[name]}, home TIMESTAMP_NTZ) {ingest.REPLACEABLE} PARTITIONED BY (home)")
     tables = {"session_hours": "session_id STRING, feed STRING, load_hour TIMESTAMP_NTZ", "homes": "session_id STRING, home TIMESTAMP_NTZ",
               "shared_events": "event_id STRING, session_id STRING", "runs": "step STRING, loads ARRAY<BIGINT>, path STRING, at TIMESTAMP_NTZ"}
     for mart, (keys, _) in MART_KEYS.items():
         tables[f"{mart}_delta"] = ", ".join(f"{k} {'TIMESTAMP_NTZ' if k == 'date_part' else 'STRING'}" for k in keys) + ", value LONG, n LONG"
     for name, columns in tables.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {lake.state}.{name} ({columns}, run LONG) USING parquet PARTITIONED BY (run)")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {lake.state}.{name} ({columns}, run LONG) {ingest.REPLACEABLE} PARTITIONED BY (run)")
 
 
 def _read(spark: SparkSession, table: str) -> DataFrame:
@@ -97,7 +97,7 @@ def _keep(df: DataFrame, table: str, run: int) -> None:
     spark = df.sparkSession
     rows = df.withColumn("run", F.lit(run).cast("long")).select(*spark.table(table).columns)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run = {run})")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    rows.write.mode("overwrite").insertInto(table)
 
 
 def _log(spark: SparkSession, lake: Lakehouse, run: int, step: str, loads: list[int], path: str | None) -> None:
@@ -275,7 +275,7 @@ def _swap(spark: SparkSession, lake: Lakehouse, path: str) -> None:
         others = _of(stored.where(F.col("home").isin(homes)), mine, "session_id", "left_anti")
         new = spark.read.schema(stored.schema).parquet(f"{path}/{name}")
         rows = cut(others.unionByName(new), f"swap-{name}")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        rows.write.mode("overwrite").insertInto(table)
         empty = sorted(set(homes) - set(_hours(rows, "home")))
         if empty:
             specs = ", ".join(f"PARTITION (home = TIMESTAMP_NTZ '{h:%Y-%m-%d %H:%M:%S}')" for h in empty)

@@ -277,10 +277,15 @@ def create_layers(spark: SparkSession, databases: Sequence[str] = ("raw", "stage
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
 
+# Of a partitioned table: an overwrite replaces the partitions it has rows of, whatever the session's
+# spark.sql.sources.partitionOverwriteMode (insertInto does not pass a writer's options on).
+REPLACEABLE = "USING parquet OPTIONS (partitionOverwriteMode 'dynamic')"
+
+
 def create_raw_tables(spark: SparkSession, db: str = "raw") -> None:
     """The four raw tables and their rejects, partitioned by hour and delivery."""
     create_layers(spark, [db])
-    by = f"{LOAD_HOUR} TIMESTAMP_NTZ, {DELIVERY} STRING) USING parquet PARTITIONED BY ({LOAD_HOUR}, {DELIVERY})"
+    by = f"{LOAD_HOUR} TIMESTAMP_NTZ, {DELIVERY} STRING) {REPLACEABLE} PARTITIONED BY ({LOAD_HOUR}, {DELIVERY})"
     for feed, schema in schemas.FEED_SCHEMAS.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{feed} ({schemas.ddl(schema)}, {by}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{feed}_rejected (line STRING, reason STRING, {by}")
@@ -288,9 +293,9 @@ def create_raw_tables(spark: SparkSession, db: str = "raw") -> None:
 
 
 def _replace(df: DataFrame, table: str) -> None:
-    """Insert by name, replacing the partitions that ``df`` has rows of."""
+    """Insert by name, replacing the partitions that ``df`` has rows of (the table is ``REPLACEABLE``)."""
     cols = df.sparkSession.table(table).columns
-    df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    df.select(*cols).write.mode("overwrite").insertInto(table)
 
 
 def write_raw(df: DataFrame, feed: str, db: str = "raw", load: int | None = None) -> list[Row]:

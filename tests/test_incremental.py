@@ -116,3 +116,19 @@ def test_only_touched_hours_are_read(spark):
     assert [tuple(r) for r in sessions] == [("s3",)]
     assert {feed: df.count() for feed, df in feeds.items()} == dict.fromkeys(schemas.FEEDS, 1)
     check(spark, lake)
+
+
+def test_session_that_overwrites_whole_tables(spark):
+    """Spark's own setting of partitionOverwriteMode, under which an overwrite replaces all of a table that does not say otherwise."""
+    rng, root, lake = random.Random(9), tempfile.mkdtemp(prefix="incremental-"), fresh(spark, "inc4")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")
+    try:
+        for hour in HOURS[:2]:
+            deliver(root, rng, hour, 12)
+            incremental.run_hour(spark, root, hour, lake=lake)
+            check(spark, lake)
+    finally:
+        spark.conf.set(mode, before)
+    assert {r[0] for r in spark.table(f"{lake.raw}.browser_events").select("load_hour").distinct().collect()} == set(HOURS[:2])
