@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from clickmart.functions import event_label, hour_start, is_product, product_name
 from clickmart.operators import stage
-from clickmart.plans.pipeline import MART_TABLES, STAGE_TABLES, save_together
+from clickmart.plans.pipeline import MART_TABLES, STAGE_TABLES, joined_by_session, save_together
 from clickmart.session import cut, discard, scratch_path
 from clickmart.sources import ingest, ledger, schemas
 
@@ -211,7 +211,7 @@ def mart_sums(s: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     visits = s["transitions"].where(is_product("page_url_path")).groupBy(product_name("page_url_path").alias("product")).agg(F.count("*").alias("n"))
     once = lambda df: df.distinct().withColumns({"value": F.lit(0).cast("long"), "n": F.lit(1).cast("long")})
     same = lambda df: df.withColumn("value", F.col("n"))
-    c, d = s["conversion"], s["devices"]
+    c, d = (joined_by_session(s)[name] for name in ("conversion", "devices"))
     parts = {
         "campaign_purchase_analysis_hourly": bought.join(c.select("session_id", "utm_campaign", "utm_medium"), "session_id"),
         "click_conversion_rates_hourly": bought.join(c.select("session_id", "utm_source"), "session_id"),

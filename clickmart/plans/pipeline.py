@@ -96,12 +96,18 @@ def build_stage(spark: SparkSession, raw: Mapping[str, DataFrame], db: str = "st
     return out
 
 
+def joined_by_session(s: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage tables whose joins are shuffled. Rows of a session are stored so small that a table's files pass for something
+    to send to all tasks, from the driver, where it is millions of sessions; and several marts do so side by side."""
+    return {**s, **{name: s[name].hint("merge") for name in ("conversion", "devices")}}
+
+
 def build_marts(spark: SparkSession, stage_tables: Mapping[str, DataFrame] | None = None,
                 stage_db: str = "stage", db: str = "mart") -> dict[str, DataFrame]:
     """Stage tables -> marts (returns the stored tables)."""
     ingest.create_layers(spark, [db])
     s = stage_tables or {t: spark.table(f"{stage_db}.{t}") for t in STAGE_TABLES}
-    marts = mart_tables(s)
+    marts = mart_tables(joined_by_session(s))
     saved = save_together({f"{db}.{name}": marts[name] for name in MART_TABLES})
     return {name: saved[f"{db}.{name}"] for name in MART_TABLES}
 

@@ -47,3 +47,18 @@ def test_scratch_is_swept(spark):
     assert session.sweep(spark, 24, [kind]) == 0
     assert spark.read.parquet(session.scratch_path(spark, kind, "a")).count() == 3
     assert session.sweep(spark, -1, [kind]) == 2 and session.sweep(spark, -1, [kind]) == 0
+
+
+def test_marts_send_no_session_table_to_all_tasks(spark, monkeypatch):
+    """Files of session tables are small and their rows are not: what is small enough here must still be shuffled."""
+    texts = "session_id string, os_name string, device_type string, utm_campaign string, utm_medium string, utm_source string, " \
+            "user_custom_id string, page_url_path string, browser_name string, event_timestamp timestamp_ntz, product_count long"
+    stored = session.cut(spark.createDataFrame([("s", "iOS", "Mobile", "c", "m", "a", "u", "/product_1", "Chrome", None, 1)], texts), "sent")
+    made = {}
+    monkeypatch.setattr(pipeline, "save_together", lambda tables: made.update(tables) or dict(tables))
+    pipeline.build_marts(spark, dict.fromkeys(pipeline.STAGE_TABLES, stored), db="sent")
+    assert len(made) == len(pipeline.MART_TABLES)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in made.values()]
+    assert sum("SortMergeJoin" in p for p in plans) == 5
+    assert not any("Broadcast" in p for p in plans)
+    assert {name.split(".")[1]: df.count() for name, df in made.items()} == dict.fromkeys(pipeline.MART_TABLES, 1)
