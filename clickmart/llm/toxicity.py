@@ -11,13 +11,13 @@ those of no example count as held by this document alone. Tasks know terms by
 64-bit hashes.
 
 Neighbours are found in a block-max inverted index. Examples stand in an order
-of likeness (by the signs of their main components), in blocks of BLOCK_EXAMPLES.
+of likeness (halved again and again by their main components), in blocks of
+BLOCK_EXAMPLES.
 The lists of rare terms are short and are added up whole. Of a frequent term the
 index has the greatest weight in each block: with the block's best rare sum these
-bound the cosine of all its examples. A text's best blocks are added up first;
-only the blocks whose bound reaches the k-th best sum so far follow, the others
-are skipped. Texts are taken in the order of their best block, so those taken
-together skip the same blocks.
+bound the cosine of all its examples. The blocks that are likeliest by their mean
+weights are added up first; only the blocks whose bound reaches the k-th best sum
+so far follow, the others are skipped.
 
 Neighbours vote with their similarity; votes are turned into probabilities by
 an isotonic fit on the sample (each example without itself, classes weighted
@@ -55,17 +55,18 @@ from clickmart.llm.decontaminate import FOLD
 SAMPLE_PER_CLASS = 6000
 BEGINNINGS = (4, 5)  # bytes
 NEIGHBOURS = 15
-BLOCK = 64  # texts compared at a time
+BLOCK = 768  # texts compared at a time
+GATHERED = 32  # of them put beside a block's terms at a time: what fits a core's cache
 BLOCK_EXAMPLES = 64
-FIRST_BLOCKS = 3  # a text's best blocks, added up before others are skipped
-FREQUENT = 1024  # terms, those in most examples, have greatest weights by block
-PREPARED_EXAMPLES = 256  # and
+FIRST_BLOCKS = 3  # a text's likeliest blocks, added up before others are skipped
+FREQUENT = 4096  # terms, those in most examples, have greatest weights by block
 PREPARED_POSTINGS = 1 << 19  # put into the index at a time
-COMPONENTS = 8  # main components that order the examples
+COMPONENTS = 16  # main components that order the examples,
+COMPONENT_TERMS = 1024  # over those in most examples
 ROUNDING = 2e-4  # bounds the error of sums of single-precision products, of the two scores compared
 SMOOTH = 0.5  # similarity that votes for clean
 REJECT = 0.3
-PREPARED = ("lengths", "places", "impacts", "lists", "frequent", "most", "query")
+PREPARED = ("lengths", "places", "impacts", "lists", "frequent", "mean", "most", "query", "asked")
 
 
 class Numbers:
@@ -90,6 +91,10 @@ class Numbers:
         return out
 
 
+def listed(values: pa.Array) -> list[bytes]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def term_counts(texts: pa.Array, known: Numbers | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """(row, term number, count) of the words and of the beginnings of longer words, sorted by row and term.
 
@@ -97,25 +102,26 @@ def term_counts(texts: pa.Array, known: Numbers | None = None) -> tuple[np.ndarr
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
-    data = texts.buffers()[2].to_pybytes()[ends[0]:ends[-1]] if len(texts) and ends[-1] > ends[0] else b""
+    data = texts.buffers()[2][int(ends[0]):int(ends[-1])].to_pybytes() if len(texts) and ends[-1] > ends[0] else b""
     folded = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(data.translate(FOLD))])
     split = pc.split_pattern(folded, b" ")
     words = split.flatten()
     row = np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(split)))
     full = np.asarray(pc.binary_length(words)) > 0
     coded = words.filter(pa.array(full)).dictionary_encode()
-    terms = coded.dictionary.to_pylist()
-    size, n_words, numbers = np.array([len(w) for w in terms], np.int64), len(terms), np.full((len(terms), 1 + len(BEGINNINGS)), -1, np.int64)
-    for k in BEGINNINGS:
-        terms += [w[:k] + b"*" for w in terms[:n_words] if len(w) > k]
-    names = [] if known is not None else list(dict.fromkeys(terms))
-    found = known.of(terms) if known is not None else np.array([*map({t: i for i, t in enumerate(names)}.__getitem__, terms)], np.int64)
-    at = n_words
-    numbers[:, 0] = found[:n_words]
-    for j, k in enumerate(BEGINNINGS, 1):
+    terms = listed(coded.dictionary)
+    size, parts = np.asarray(pc.binary_length(coded.dictionary)), []
+    for k in BEGINNINGS:  # each once
         long = np.flatnonzero(size > k)
-        numbers[long, j] = found[at:at + len(long)]
-        at += len(long)
+        begins = pc.binary_slice(coded.dictionary.take(pa.array(long)), 0, k).dictionary_encode()
+        parts.append((long, len(terms) + np.asarray(begins.indices)))
+        terms += [w + b"*" for w in listed(begins.dictionary)]
+    names = [] if known is not None else terms
+    found = known.of(terms) if known is not None else np.arange(len(terms))
+    numbers = np.full((len(size), 1 + len(BEGINNINGS)), -1, np.int64)
+    numbers[:, 0] = found[:len(size)]
+    for j, (long, at) in enumerate(parts, 1):
+        numbers[long, j] = found[at]
     numbers = numbers[np.asarray(coded.indices)]
     width = max(int(found.max(initial=-1)) + 1, 1)
     key, n = np.unique((row[full][:, None] * width + numbers)[numbers >= 0], return_counts=True)
@@ -128,6 +134,16 @@ def spread(ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(size.sum()) + np.repeat(ends[which] - (np.cumsum(size) - size), size), size
 
 
+def halves(rows: np.ndarray, points: np.ndarray) -> list[np.ndarray]:
+    """The rows, halved along the longest direction of their points until BLOCK_EXAMPLES at most are left; whole blocks but for the last."""
+    if len(rows) <= BLOCK_EXAMPLES or not points.shape[1]:
+        return [rows]
+    own = points[rows] - points[rows].mean(0)
+    rows = rows[np.argsort(own @ np.linalg.eigh(own.T @ own)[1][:, -1], kind="stable")]
+    middle = -(-(len(rows) // 2) // BLOCK_EXAMPLES) * BLOCK_EXAMPLES
+    return halves(rows[:middle], points) + halves(rows[middle:], points)
+
+
 @dataclass
 class Model:
     """Vocabulary, term weights, the examples' terms and counts, and the calibration; ``prepare`` adds vectors and index.
@@ -165,27 +181,32 @@ class Model:
         return self.known
 
     def prepare(self) -> None:
-        """Lengths of the examples' vectors, and their index by term: lists of rare terms, and of frequent ones the weights and
-        the greatest weight in each block. Places in the index are those of ``order``, filled up to whole blocks."""
+        """Lengths of the examples' vectors, and their index by term: lists of rare terms, and of frequent ones the weights, by
+        block for the terms in it, and the greatest and the mean weight in each block. Places in the index are those of ``order``, filled up
+        to whole blocks."""
         if hasattr(self, "most"):
             return
         n = len(self.ids)
         if self.order is None:
             self.order = np.arange(n)
-        place = np.empty(n, np.int32)
-        place[self.order] = np.arange(n)
         small = np.uint16 if n <= 1 << 16 else np.int32
         self.lengths, places, weights = np.zeros(n), np.empty(len(self.terms), small), np.empty(len(self.terms), np.float32)
-        self.frequent = np.zeros((min(FREQUENT, len(self.weight)), -(-n // BLOCK_EXAMPLES) * BLOCK_EXAMPLES), np.float32)  # terms x places
-        for lo in range(0, n, PREPARED_EXAMPLES):  # some at a time: temporary arrays are a small part of what is kept
-            ends = self.rows[lo:lo + PREPARED_EXAMPLES + 1]
-            part, example = slice(ends[0], ends[-1]), np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-            term = self.terms[part]
-            w = (1 + np.log(self.counts[part], dtype=float)) * self.weight[term]
-            self.lengths[lo:lo + len(ends) - 1] = np.sqrt(np.bincount(example, w * w, len(ends) - 1))
-            places[part], weights[part] = place[lo + example], w / self.lengths[lo + example]
+        self.frequent = []  # by block: its frequent terms, and in terms x places their weights over 0 and where these are
+        most = np.zeros((min(FREQUENT, len(self.weight)), -(-n // BLOCK_EXAMPLES)), np.float32)  # terms x blocks
+        self.mean = np.zeros_like(most)
+        for lo in range(0, n, BLOCK_EXAMPLES):
+            block = self.order[lo:lo + BLOCK_EXAMPLES]
+            at, size = spread(self.rows, block)
+            place, term = np.repeat(np.arange(len(block)), size), self.terms[at]
+            w = (1 + np.log(self.counts[at], dtype=float)) * self.weight[term]
+            self.lengths[block] = np.sqrt(np.bincount(place, w * w, len(block)))
+            w /= self.lengths[block][place]
+            places[at], weights[at] = lo + place, w
             often = term < FREQUENT
-            self.frequent[term[often], places[part][often]] = weights[part][often]
+            terms, row = np.unique(term[often], return_inverse=True)
+            self.frequent.append((terms, (row * BLOCK_EXAMPLES + place[often]).astype(np.int32), w[often].astype(np.float32)))
+            inside = self._inside(lo // BLOCK_EXAMPLES)[1]
+            most[terms, lo // BLOCK_EXAMPLES], self.mean[terms, lo // BLOCK_EXAMPLES] = inside.max(1, initial=0), inside.sum(1) / len(block)
         sizes = np.bincount(self.terms, minlength=len(self.weight))
         sizes[:FREQUENT] = 0
         self.lists = np.append(0, np.cumsum(sizes)).astype(np.int64)
@@ -196,15 +217,31 @@ class Model:
             own = own[np.argsort(self.terms[own], kind="stable")]
             to = slice(self.lists[first], self.lists[last])
             self.places[to], self.impacts[to] = places[own], weights[own]
-        self.query = np.zeros(len(self.weight))
-        self.most = self.frequent.reshape(len(self.frequent), -1, BLOCK_EXAMPLES).max(2)
+        self.query, self.asked = np.zeros(len(self.weight)), np.zeros(len(self.weight), bool)
+        self.most = most
+
+    def _inside(self, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """The frequent terms of a block, and their weights as terms x places."""
+        terms, at, weights = self.frequent[block]
+        inside = np.zeros(len(terms) * BLOCK_EXAMPLES, np.float32)
+        inside[at] = weights
+        return terms, inside.reshape(-1, BLOCK_EXAMPLES)
 
     def pack(self) -> None:
-        """Order the examples by likeness, by the signs of their main components over the frequent terms, and keep small numbers small."""
+        """Order the examples by likeness, halved by their main components over the frequent terms, and keep small numbers small."""
         self.prepare()
-        components = np.linalg.eigh(self.frequent @ self.frequent.T)[1][:, ::-1][:, :COMPONENTS]
-        at = components.T @ self.frequent[:, :len(self.ids)]
-        self.order = np.lexsort([at[0], *(at[1:] > np.median(at[1:], 1)[:, None])[::-1]])
+        common = min(COMPONENT_TERMS, len(self.most))
+
+        def inside(block: int) -> np.ndarray:
+            terms, weights = self._inside(block)
+            out = np.zeros((common, BLOCK_EXAMPLES), np.float32)
+            out[terms[terms < common]] = weights[terms < common]
+            return out
+
+        products = sum(x @ x.T for x in map(inside, range(len(self.frequent))))
+        components = np.linalg.eigh(products)[1][:, ::-1][:, :COMPONENTS]
+        at = np.hstack([components.T @ inside(b) for b in range(len(self.frequent))])[:, :len(self.ids)]
+        self.order = np.concatenate(halves(np.arange(len(self.ids)), at.T))
         self.terms = self.terms.astype(np.int32)
         if self.counts.max(initial=0) < 1 << 16:
             self.counts = self.counts.astype(np.uint16)
@@ -240,36 +277,36 @@ class Model:
             return out
         self.prepare()
         where = np.argsort(self.order) if without is not None else None
-        cuts = [int(np.searchsorted(own, len(self.frequent))) for own, _ in vectors]
-        often = np.zeros((len(vectors), len(self.frequent)), np.float32)
-        for i, (own, w) in enumerate(vectors):
-            often[i, own[:cuts[i]]] = w[:cuts[i]]
-        bounds = often @ self.most
-        order = np.argsort(bounds.argmax(1), kind="stable")
-        width = self.frequent.shape[1]
+        width, common = self.most.shape[1] * BLOCK_EXAMPLES, len(self.most)
         for lo in range(0, len(vectors), BLOCK):
-            texts = order[lo:lo + BLOCK]
-            scores = np.empty((len(texts), width), np.float32)
-            for row, i in enumerate(texts):
-                own, w = vectors[i]
-                at, size = spread(self.lists, own[cuts[i]:])
-                scores[row] = np.bincount(self.places[at], self.impacts[at] * np.repeat(w[cuts[i]:], size), width)
+            some = vectors[lo:lo + BLOCK]
+            often, scores = np.zeros((len(some), common), np.float32), np.empty((len(some), width), np.float32)
+            for i, (own, w) in enumerate(some):
+                cut = int(np.searchsorted(own, common))
+                often[i, own[:cut]] = w[:cut]
+                scores[i] = self._rare(own[cut:], w[cut:], width)
                 if without is not None:
-                    scores[row, where[without[i]]] = -2.0  # below every bar
-            bars = self._sum_up(scores, often[texts], bounds[texts], k)
-            for i, row, bar in zip(texts, scores, bars, strict=True):
+                    scores[i, where[without[lo + i]]] = -2.0  # below every bar
+            bars = self._sum_up(scores, often, k)
+            for i, (row, bar) in enumerate(zip(scores, bars, strict=True)):
                 near = np.flatnonzero(row >= bar)
                 if len(near) > k:
                     near = near[row[near] >= np.partition(row[near], -k)[-k] - ROUNDING]
-                out[i] = self._exact(*vectors[i], self.order[near], k)
+                out[lo + i] = self._exact(*some[i], self.order[near], k)
         return out
 
-    def _sum_up(self, scores: np.ndarray, often: np.ndarray, bounds: np.ndarray, k: int) -> np.ndarray:
+    def _rare(self, own: np.ndarray, w: np.ndarray, width: int) -> np.ndarray:
+        """The sums of a vector's rare terms, at every place."""
+        at, size = spread(self.lists, own)
+        return np.bincount(self.places.take(at), self.impacts.take(at) * np.repeat(w.astype(np.float32), size), width)
+
+    def _sum_up(self, scores: np.ndarray, often: np.ndarray, k: int) -> np.ndarray:
         """Add the frequent terms' sums to those of the rare ones where a text's k best can be; returns bars that these reach."""
         blocks = scores.reshape(len(scores), -1, BLOCK_EXAMPLES)
-        bounds = bounds + blocks.max(2)
+        rare = blocks.max(2)
+        bounds, likely = rare + often @ self.most, rare + often @ self.mean
         first = min(FIRST_BLOCKS + -(-k // BLOCK_EXAMPLES) - 1, blocks.shape[1])
-        best = np.argpartition(-bounds, first - 1, 1)[:, :first]
+        best = np.argpartition(-likely, first - 1, 1)[:, :first]
         marked = np.zeros(bounds.shape, bool)
         np.put_along_axis(marked, best, True, 1)
         self._add(scores, often, marked)
@@ -282,22 +319,26 @@ class Model:
     def _add(self, scores: np.ndarray, often: np.ndarray, blocks: np.ndarray) -> None:
         """Add the frequent terms' sums, of the marked blocks of each text."""
         for b in np.flatnonzero(blocks.any(0)).tolist():
-            texts, part = np.flatnonzero(blocks[:, b]), slice(b * BLOCK_EXAMPLES, (b + 1) * BLOCK_EXAMPLES)
-            if len(texts) == len(scores):
-                scores[:, part] += often @ self.frequent[:, part]
-            else:
-                scores[texts, part] += often[texts] @ self.frequent[:, part]
+            marked, (terms, weights) = np.flatnonzero(blocks[:, b]), self._inside(b)
+            for lo in range(0, len(marked), GATHERED):
+                texts = marked[lo:lo + GATHERED]
+                scores[texts, b * BLOCK_EXAMPLES:(b + 1) * BLOCK_EXAMPLES] += often[texts].take(terms, 1) @ weights
 
     def _exact(self, own: np.ndarray, w: np.ndarray, kept: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k best of the kept examples over 0, in double precision."""
-        at, size = spread(self.rows, kept)
-        term = self.terms[at]
-        self.query[own] = w
-        ours = self.query[term]
-        self.query[own] = 0.0
-        both = np.flatnonzero(ours)
-        theirs = (1 + np.log(self.counts[at[both]], dtype=float)) * self.weight[term[both]]
-        exact = np.round(np.bincount(np.repeat(np.arange(len(kept)), size)[both], ours[both] * theirs, len(kept)) / self.lengths[kept], 9)
+        parts = [slice(*x) for x in zip(self.rows[kept].tolist(), self.rows[kept + 1].tolist(), strict=True)]
+        if not parts:
+            return []
+        term = np.concatenate([self.terms[x] for x in parts])
+        self.query[own], self.asked[own] = w, True
+        both = np.flatnonzero(self.asked.take(term))
+        shared = term.take(both)
+        ours = self.query[shared]
+        self.asked[own] = False
+        theirs = (1 + np.log(np.concatenate([self.counts[x] for x in parts]).take(both), dtype=float)) * self.weight[shared]
+        ends = np.searchsorted(both, np.cumsum(self.rows[kept + 1] - self.rows[kept]))
+        example = np.repeat(np.arange(len(kept)), np.diff(ends, prepend=0))
+        exact = np.round(np.bincount(example, ours * theirs, len(kept)) / self.lengths[kept], 9)
         order = np.lexsort((kept, -exact))[:k]
         return [(s, e) for s, e in zip(exact[order].tolist(), kept[order].tolist(), strict=True) if s > 0]
 
