@@ -39,14 +39,14 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import column, slices, stored
@@ -83,7 +83,8 @@ class Numbers:
     def of(self, terms: list[bytes]) -> np.ndarray:
         """Number of each term; unknown ones are numbered after the known."""
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64, len(terms))
-        place = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self) - 1, 0))
+        order, place = np.argsort(hashes), np.empty(len(hashes), np.int64)
+        place[order] = np.minimum(np.searchsorted(self.hashes, hashes[order]), max(len(self) - 1, 0))  # neighbours lie in the cache
         known = self.hashes[place] == hashes if len(self) else np.zeros(len(hashes), bool)
         out = np.empty(len(hashes), np.int64)
         out[known] = self.numbers[place[known]]
@@ -166,7 +167,7 @@ class Model:
 
     def __getstate__(self) -> dict:
         """What tasks are sent: the vectors as packed numbers and counts, without what ``prepare`` makes of them."""
-        state = {k: v for k, v in self.__dict__.items() if k not in (*PREPARED, "vocabulary")}
+        state = {k: v for k, v in self.__dict__.items() if k not in (*PREPARED, "vocabulary", "sent")}
         return state | {k: (state[k].dtype.str, zlib.compress(state[k].tobytes(), 1)) for k in ("terms", "counts")} | {"known": self.numbers()}
 
     def __setstate__(self, state: dict) -> None:
@@ -281,15 +282,20 @@ class Model:
         for lo in range(0, len(vectors), BLOCK):
             some = vectors[lo:lo + BLOCK]
             often, scores = np.zeros((len(some), common), np.float32), np.empty((len(some), width), np.float32)
-            for i, (own, w) in enumerate(some):
-                cut = int(np.searchsorted(own, common))
-                often[i, own[:cut]] = w[:cut]
-                scores[i] = self._rare(own[cut:], w[cut:], width)
+            cuts = [int(np.searchsorted(own, common)) for own, _ in some]
+            for row, cut, (own, w) in zip(often, cuts, some, strict=True):
+                row[own[:cut]] = w[:cut]
+            likely = often @ self.mean
+            alike = np.argsort(likely.argmax(1), kind="stable").tolist()  # texts that share lists and examples follow each other
+            for i in alike:
+                own, w = some[i]
+                scores[i] = self._rare(own[cuts[i]:], w[cuts[i]:], width)
                 if without is not None:
                     scores[i, where[without[lo + i]]] = -2.0  # below every bar
-            bars = self._sum_up(scores, often, k)
-            for i, (row, bar) in enumerate(zip(scores, bars, strict=True)):
-                near = np.flatnonzero(row >= bar)
+            bars = self._sum_up(scores, often, likely, k)
+            for i in alike:
+                row = scores[i]
+                near = np.flatnonzero(row >= bars[i])
                 if len(near) > k:
                     near = near[row[near] >= np.partition(row[near], -k)[-k] - ROUNDING]
                 out[lo + i] = self._exact(*some[i], self.order[near], k)
@@ -300,13 +306,13 @@ class Model:
         at, size = spread(self.lists, own)
         return np.bincount(self.places.take(at), self.impacts.take(at) * np.repeat(w.astype(np.float32), size), width)
 
-    def _sum_up(self, scores: np.ndarray, often: np.ndarray, k: int) -> np.ndarray:
+    def _sum_up(self, scores: np.ndarray, often: np.ndarray, likely: np.ndarray, k: int) -> np.ndarray:
         """Add the frequent terms' sums to those of the rare ones where a text's k best can be; returns bars that these reach."""
         blocks = scores.reshape(len(scores), -1, BLOCK_EXAMPLES)
         rare = blocks.max(2)
-        bounds, likely = rare + often @ self.most, rare + often @ self.mean
+        bounds = rare + often @ self.most
         first = min(FIRST_BLOCKS + -(-k // BLOCK_EXAMPLES) - 1, blocks.shape[1])
-        best = np.argpartition(-likely, first - 1, 1)[:, :first]
+        best = np.argpartition(-(likely + rare), first - 1, 1)[:, :first]
         marked = np.zeros(bounds.shape, bool)
         np.put_along_axis(marked, best, True, 1)
         self._add(scores, often, marked)
@@ -330,15 +336,14 @@ class Model:
         if not parts:
             return []
         term = np.concatenate([self.terms[x] for x in parts])
-        self.query[own], self.asked[own] = w, True
+        self.query[own], self.asked[own] = w * self.weight[own], True
         both = np.flatnonzero(self.asked.take(term))
         shared = term.take(both)
-        ours = self.query[shared]
         self.asked[own] = False
-        theirs = (1 + np.log(np.concatenate([self.counts[x] for x in parts]).take(both), dtype=float)) * self.weight[shared]
+        products = (1 + np.log(np.concatenate([self.counts[x] for x in parts]).take(both), dtype=float)) * self.query.take(shared)
         ends = np.searchsorted(both, np.cumsum(self.rows[kept + 1] - self.rows[kept]))
         example = np.repeat(np.arange(len(kept)), np.diff(ends, prepend=0))
-        exact = np.round(np.bincount(example, ours * theirs, len(kept)) / self.lengths[kept], 9)
+        exact = np.round(np.bincount(example, products, len(kept)) / self.lengths[kept], 9)
         order = np.lexsort((kept, -exact))[:k]
         return [(s, e) for s, e in zip(exact[order].tolist(), kept[order].tolist(), strict=True) if s > 0]
 
@@ -467,21 +472,35 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
             yield pa.RecordBatch.from_arrays([column(batch, "id"), pa.array([m.vote(x) for x in near], pa.float64())], names=["id", "raw"])
 
     raw = docs.sparkSession.range(len(model.ids)).mapInArrow(votes, "id long, raw double").toArrow().sort_by("id")["raw"].to_numpy()
-    filled.destroy()
+    model.sent = filled
     weight = np.array(n)[model.labels] / np.array(used)[model.labels]
     model.steps, model.values = isotonic(raw, model.labels, weight)
     return model
 
 
+def shared_with_tasks(spark: SparkSession, model: Model) -> Callable[[], Model]:
+    """Gives tasks the model. Where it was sent for the votes, a worker has it, prepared, and gets only the words and the calibration."""
+    context = spark.sparkContext
+    sent = getattr(model, "sent", None) or context.broadcast(model)
+    rest = context.broadcast((model.numbers(), model.steps, model.values))
+
+    def value() -> Model:
+        found = sent.value
+        found.known, found.steps, found.values = rest.value
+        return found
+
+    return value
+
+
 def score(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
     """``docs`` (all columns, nested as ``row``) with score, predicted and evidence (example doc_id, similarity, label)."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs if learn_from is None else learn_from, labels))
+    shared = shared_with_tasks(docs.sparkSession, fit(docs if learn_from is None else learn_from, labels))
     rows = docs.select(F.struct("*").alias("row"), "text")
     out = rows.select("row", F.lit(0.0).alias("score"), F.lit(None).cast("array<struct<doc_id:bigint,similarity:double,toxic:int>>").alias("evidence"))
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches):
-        model = shared.value
+        model = shared()
         for batch in slices(batches):
             found = model.scores(column(batch, "text"))
             near = [[{"doc_id": int(model.ids[e]), "similarity": s, "toxic": int(model.labels[e])} for s, e in x] for _, x in found]
@@ -493,11 +512,12 @@ def score(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = Non
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels))
+    shared = shared_with_tasks(docs.sparkSession, fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels))
 
     def run(batches):
+        model = shared()
         for batch in slices(batches):
-            found = [s for s, _ in shared.value.scores(column(batch, "text"))]
+            found = [s for s, _ in model.scores(column(batch, "text"))]
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
@@ -507,11 +527,12 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def remove_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, unchanged."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    shared = shared_with_tasks(docs.sparkSession, fit(docs, labels))
 
     def run(batches):
+        model = shared()
         for batch in slices(batches):
-            found = shared.value.scores(column(batch, "text"))
+            found = model.scores(column(batch, "text"))
             yield batch.filter(pa.array([s < REJECT for s, _ in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
