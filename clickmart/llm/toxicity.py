@@ -56,6 +56,7 @@ SAMPLE_PER_CLASS = 6000
 BEGINNINGS = (4, 5)  # bytes
 NEIGHBOURS = 15
 BLOCK = 768  # texts compared at a time
+FACTORS = 1 << 12  # counts whose weights are kept
 GATHERED = 32  # of them put beside a block's terms at a time: what fits a core's cache
 BLOCK_EXAMPLES = 64
 FIRST_BLOCKS = 3  # a text's likeliest blocks, added up before others are skipped
@@ -66,7 +67,7 @@ COMPONENT_TERMS = 1024  # over those in most examples
 ROUNDING = 2e-4  # bounds the error of sums of single-precision products, of the two scores compared
 SMOOTH = 0.5  # similarity that votes for clean
 REJECT = 0.3
-PREPARED = ("lengths", "places", "impacts", "lists", "frequent", "mean", "most", "query", "asked")
+PREPARED = ("lengths", "factors", "places", "impacts", "lists", "frequent", "mean", "most", "query", "asked")
 
 
 class Numbers:
@@ -192,6 +193,7 @@ class Model:
             self.order = np.arange(n)
         small = np.uint16 if n <= 1 << 16 else np.int32
         self.lengths, places, weights = np.zeros(n), np.empty(len(self.terms), small), np.empty(len(self.terms), np.float32)
+        self.factors = 1 + np.log(np.maximum(np.arange(FACTORS), 1))
         self.frequent = []  # by block: its frequent terms, and in terms x places their weights over 0 and where these are
         most = np.zeros((min(FREQUENT, len(self.weight)), -(-n // BLOCK_EXAMPLES)), np.float32)  # terms x blocks
         self.mean = np.zeros_like(most)
@@ -199,12 +201,14 @@ class Model:
             block = self.order[lo:lo + BLOCK_EXAMPLES]
             at, size = spread(self.rows, block)
             place, term = np.repeat(np.arange(len(block)), size), self.terms[at]
-            w = (1 + np.log(self.counts[at], dtype=float)) * self.weight[term]
+            w = self._factor(self.counts[at]) * self.weight[term]
             self.lengths[block] = np.sqrt(np.bincount(place, w * w, len(block)))
             w /= self.lengths[block][place]
             places[at], weights[at] = lo + place, w
             often = term < FREQUENT
-            terms, row = np.unique(term[often], return_inverse=True)
+            held = np.zeros(len(most), bool)
+            held[term[often]] = True
+            terms, row = np.flatnonzero(held), (np.cumsum(held) - 1)[term[often]]
             self.frequent.append((terms, (row * BLOCK_EXAMPLES + place[often]).astype(np.int32), w[often].astype(np.float32)))
             inside = self._inside(lo // BLOCK_EXAMPLES)[1]
             most[terms, lo // BLOCK_EXAMPLES], self.mean[terms, lo // BLOCK_EXAMPLES] = inside.max(1, initial=0), inside.sum(1) / len(block)
@@ -215,12 +219,15 @@ class Model:
         cuts = np.searchsorted(self.lists, np.arange(0, max(1, self.lists[-1]), PREPARED_POSTINGS))
         for first, last in zip(cuts, np.append(cuts[1:], len(self.weight)), strict=True):
             own = np.flatnonzero((self.terms >= max(first, FREQUENT)) & (self.terms < last))
-            own = own[np.argsort(self.terms[own], kind="stable")]
+            own = own[np.argsort(self.terms[own])]
             to = slice(self.lists[first], self.lists[last])
             self.places[to], self.impacts[to] = places[own], weights[own]
         self.query, self.asked = np.zeros(len(self.weight)), np.zeros(len(self.weight), bool)
         self.most = most
 
+    def _factor(self, counts: np.ndarray) -> np.ndarray:
+        return self.factors.take(counts) if counts.max(initial=0) < FACTORS else 1 + np.log(counts, dtype=float)
+
     def _inside(self, block: int) -> tuple[np.ndarray, np.ndarray]:
         """The frequent terms of a block, and their weights as terms x places."""
         terms, at, weights = self.frequent[block]
@@ -340,7 +347,7 @@ class Model:
         both = np.flatnonzero(self.asked.take(term))
         shared = term.take(both)
         self.asked[own] = False
-        products = (1 + np.log(np.concatenate([self.counts[x] for x in parts]).take(both), dtype=float)) * self.query.take(shared)
+        products = self._factor(np.concatenate([self.counts[x] for x in parts]).take(both)) * self.query.take(shared)
         ends = np.searchsorted(both, np.cumsum(self.rows[kept + 1] - self.rows[kept]))
         example = np.repeat(np.arange(len(kept)), np.diff(ends, prepend=0))
         exact = np.round(np.bincount(example, products, len(kept)) / self.lengths[kept], 9)
@@ -354,12 +361,10 @@ class Model:
         total = sum(s for s, _ in near)
         return sum(s * self.labels[e] for s, e in near) / (total + SMOOTH)
 
-    def calibrated(self, raw: float) -> float:
-        return float(np.interp(raw, self.steps, self.values))
-
     def scores(self, texts: pa.Array) -> list[tuple[float, list[tuple[float, int]]]]:
         """Score and neighbours of every text."""
-        return [(self.calibrated(self.vote(x)), x) for x in self.nearest(self.vectors(texts))]
+        near = self.nearest(self.vectors(texts))
+        return [*zip(np.interp([self.vote(x) for x in near], self.steps, self.values).tolist(), near, strict=True)]
 
 
 def isotonic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
