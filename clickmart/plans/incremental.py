@@ -23,6 +23,10 @@ A run has the number of its last load. All it writes before step 5 goes to
 partitions of that number, so a run that failed is run again from its start;
 one that failed in step 5 goes on from its stored rows (``runs`` says which).
 Steps 4 to 6 read no raw rows. Rows without a session (null) are one session.
+
+The driver plans much and must hold little: joins whose sides grow with the data are
+shuffled (``merge``), since stored keys are small files of many rows, and
+``AT_ONCE`` tables of a layer are worked on at a time.
 """
 
 from __future__ import annotations
@@ -38,10 +42,11 @@ from pyspark.sql import functions as F
 from clickmart.functions import event_label, hour_start, is_product, product_name
 from clickmart.operators import stage
 from clickmart.plans.pipeline import MART_TABLES, STAGE_TABLES, joined_by_session, save_together
-from clickmart.session import cut, discard, scratch_path
+from clickmart.session import cut, discard, release, scratch_path
 from clickmart.sources import ingest, ledger, schemas
 
 SENT_KEYS = 100_000  # up to so many keys (of some 40 bytes) are sent to the tasks instead of shuffling what they select
+AT_ONCE = 2  # tables worked on side by side: every query in flight has its plan, its threads and what it sends in the driver
 BEGAN, COMPUTED, DONE = "began", "computed", "done"
 STAGE_COLUMNS = {
     "transitions": "event_id STRING, session_id STRING, page_url STRING, browser_name STRING, page_url_path STRING, event_timestamp TIMESTAMP_NTZ",
@@ -107,21 +112,22 @@ def _log(spark: SparkSession, lake: Lakehouse, run: int, step: str, loads: list[
 
 
 def _side_by_side(fn: Callable, *args: Iterable) -> list:
-    """``fn`` for each of a layer's tables, as jobs side by side."""
-    with ThreadPoolExecutor(len(MART_TABLES)) as pool:
+    """``fn`` for each of a layer's tables, ``AT_ONCE`` side by side."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
         return list(pool.map(fn, *args))
 
 
 def _sent(keys: DataFrame) -> DataFrame:
-    """Stored keys (one column) as the side of a semi join: few are sent to the tasks, so that the other side is filtered
-    where it is read; many are joined by a shuffle."""
-    keys = keys.select(F.col(keys.columns[0]).alias("_key"))
-    return F.broadcast(keys) if keys.limit(SENT_KEYS + 1).count() <= SENT_KEYS else keys
+    """Stored keys (and what goes with them, after the first column) as a side of joins: few are sent to the tasks, so that
+    the other side is filtered where it is read; many are joined by a shuffle, however small their files are."""
+    keys = keys.withColumnRenamed(keys.columns[0], "_key")
+    return F.broadcast(keys) if keys.count() <= SENT_KEYS else keys.hint("merge")
 
 
 def _of(df: DataFrame, keys: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
-    """Rows of ``df`` whose column is (or, left_anti, is not) among the keys (``_sent``), null equal to null."""
-    return df.join(keys, F.col(column).eqNullSafe(F.col("_key")), how)
+    """Rows of ``df`` whose column is (or, left_anti, is not) among the keys (``_sent``), null equal to null; with what goes
+    with the keys (inner)."""
+    return df.join(keys, F.col(column).eqNullSafe(F.col("_key")), how).drop("_key")
 
 
 def _hours(df: DataFrame, column: str) -> list:
@@ -170,7 +176,7 @@ def _touched(spark: SparkSession, lake: Lakehouse, run: int, loads: list[int]) -
     several = clicks.groupBy("event_id").agg(F.count("*").alias("n")).where("n > 1").select("event_id")
     _keep(clicks.join(several, "event_id"), f"{lake.state}.shared_events", run)
     hours = keys.where(F.col("feed") != "location_events").select("session_id", "feed", "load_hour").union(
-        clicks.join(pages, "event_id").select("session_id", F.lit("location_events"), "load_hour"))
+        clicks.join(pages.hint("merge"), "event_id").select("session_id", F.lit("location_events"), "load_hour"))
     _keep(hours.distinct(), f"{lake.state}.session_hours", run)
 
     direct = both.where(F.col("feed") != "location_events").select("session_id").union(clicks.select("session_id")).distinct()
@@ -233,20 +239,19 @@ def _compute(spark: SparkSession, lake: Lakehouse, run: int, loads: list[int], p
     hours = _of(_read(spark, f"{lake.state}.session_hours"), mine, "session_id")
     known = _of(_read(spark, f"{lake.state}.homes").where(F.col("run") != run), mine, "session_id").select("session_id", "home")
     fresh = hours.groupBy("session_id").agg(F.min("load_hour").alias("home"))
-    fresh = fresh.join(known.select(F.col("session_id").alias("_known")), F.col("session_id").eqNullSafe(F.col("_known")), "left_anti")
+    fresh = _of(fresh, known.select(F.col("session_id").alias("_key")).hint("merge"), "session_id", "left_anti")
     _keep(fresh, f"{lake.state}.homes", run)
     known.union(_read(spark, f"{lake.state}.homes").where(F.col("run") == run).select("session_id", "home")).write.parquet(f"{path}/sessions")
     sessions = spark.read.parquet(f"{path}/sessions")
-    homes, mine = _hours(sessions, "home"), _sent(sessions.select("session_id"))
+    homes, at_home = _hours(sessions, "home"), _sent(sessions.select("session_id", "home"))
+    mine = at_home.select("_key")
 
-    feeds = _raw_rows(spark, lake, inputs)
+    feeds = {feed: rows.hint("merge") for feed, rows in _raw_rows(spark, lake, inputs).items()}
     tr = cut(stage.transitions(feeds["browser_events"], feeds["location_events"]), "transitions")
 
     def build(name: str) -> tuple[DataFrame, DataFrame]:
         """The sessions' new rows of a stage table, and their old ones."""
-        rows = _of(_stage_rows(name, feeds, tr), mine, "session_id")
-        at = sessions.withColumnRenamed("session_id", "_session")
-        rows = rows.join(at, F.col("session_id").eqNullSafe(F.col("_session"))).drop("_session")
+        rows = _of(_stage_rows(name, feeds, tr), at_home, "session_id", "inner")
         rows.write.parquet(f"{path}/{name}")
         old = _of(_read(spark, f"{lake.stage}.{name}").where(F.col("home").isin(homes)), mine, "session_id")
         in_marts = name in ("purchases", "transitions", "conversion", "devices")
@@ -274,9 +279,11 @@ def _swap(spark: SparkSession, lake: Lakehouse, path: str) -> None:
         stored = _read(spark, table)
         others = _of(stored.where(F.col("home").isin(homes)), mine, "session_id", "left_anti")
         new = spark.read.schema(stored.schema).parquet(f"{path}/{name}")
-        rows = cut(others.unionByName(new), f"swap-{name}")
-        rows.write.mode("overwrite").insertInto(table)
-        empty = sorted(set(homes) - set(_hours(rows, "home")))
+        empty = sorted(set(homes) - set(_hours(new, "home")))
+        if empty:
+            empty = sorted(set(empty) - set(_hours(others.where(F.col("home").isin(empty)), "home")))
+        # few files a home, of any number of tasks; partitions are replaced once all rows are written
+        others.unionByName(new).hint("rebalance", "home").write.mode("overwrite").insertInto(table)
         if empty:
             specs = ", ".join(f"PARTITION (home = TIMESTAMP_NTZ '{h:%Y-%m-%d %H:%M:%S}')" for h in empty)
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
@@ -316,10 +323,12 @@ def propagate(spark: SparkSession, lake: Lakehouse = Lakehouse()) -> int | None:
     if not computed:
         _compute(spark, lake, run, loads, path)
         _log(spark, lake, run, COMPUTED, loads, path)
+        release(spark)
     _swap(spark, lake, path)
-    save_together({f"{lake.mart}.{mart}": df for mart, df in marts(spark, lake).items()})
+    save_together({f"{lake.mart}.{mart}": df for mart, df in marts(spark, lake).items()}, AT_ONCE)
     _log(spark, lake, run, DONE, loads, None)
     discard(spark, path)
+    release(spark)
     return run
 
 

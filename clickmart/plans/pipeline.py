@@ -70,12 +70,12 @@ def _save(df: DataFrame, name: str) -> DataFrame:
     return _point(df.sparkSession, name, _write(df, name))
 
 
-def save_together(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """``_save`` for several tables: all are written, side by side, before the first view moves. A failed
+def save_together(tables: Mapping[str, DataFrame], at_once: int | None = None) -> dict[str, DataFrame]:
+    """``_save`` for several tables: all are written, side by side (or ``at_once`` of them), before the first view moves. A failed
     write moves none, and readers see old and new versions together only while views are moved, not while
     tables are written."""
     names = list(tables)
-    with ThreadPoolExecutor(max(1, len(names))) as pool:
+    with ThreadPoolExecutor(at_once or max(1, len(names))) as pool:
         versions = list(pool.map(lambda name: _write(tables[name], name), names))
     return {name: _point(tables[name].sparkSession, name, version) for name, version in zip(names, versions, strict=True)}
 

@@ -75,6 +75,12 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what earlier queries sent and shuffled: Spark removes it once the driver has collected its garbage, and a
+    driver of many small queries enlarges its heap instead."""
+    spark.sparkContext._jvm.System.gc()
+
+
 SCRATCH = ("cut", "llm", "deliveries", "incremental", "landing", "ingest-json", "ingest-raw")
 
 

@@ -132,3 +132,47 @@ def test_session_that_overwrites_whole_tables(spark):
     finally:
         spark.conf.set(mode, before)
     assert {r[0] for r in spark.table(f"{lake.raw}.browser_events").select("load_hour").distinct().collect()} == set(HOURS[:2])
+
+
+def test_many_keys_are_shuffled(spark, monkeypatch):
+    """More keys than are sent, in files that Spark would send whole: no join sends them, and the run equals a rebuild."""
+    keys = incremental.cut(spark.range(200).selectExpr("concat('s', id) AS session_id"), "many-keys")
+    wide = spark.range(500).selectExpr("concat('s', id % 300) AS click_id", "id")
+    for sent, join in ((200, "BroadcastHashJoin"), (199, "SortMergeJoin")):
+        monkeypatch.setattr(incremental, "SENT_KEYS", sent)
+        for how in ("left_semi", "left_anti", "inner"):
+            df = incremental._of(wide, incremental._sent(keys), "click_id", how)
+            assert df.columns == ["click_id", "id"] and df.count() == {"left_semi": 400, "left_anti": 100, "inner": 400}[how]
+            assert join in df._jdf.queryExecution().sparkPlan().toString(), how
+
+    monkeypatch.setattr(incremental, "SENT_KEYS", 0)
+    rng, root, lake = random.Random(11), tempfile.mkdtemp(prefix="incremental-"), fresh(spark, "inc5")
+    deliver(root, rng, HOURS[0], 30)
+    deliver(root, rng, HOURS[1], 30)
+    incremental.backfill(spark, root, HOURS[0], HOURS[-1], lake=lake)
+    deliver(root, rng, HOURS[0], 30)
+    incremental.backfill(spark, root, HOURS[0], HOURS[-1], lake=lake)
+    check(spark, lake)
+    for name in pipeline.STAGE_TABLES:  # rows of a home come from many tasks, and go to one file while they are few
+        df = incremental._read(spark, f"{lake.stage}.{name}")
+        assert len(df.inputFiles()) == df.select("home").distinct().count(), name
+
+
+def test_few_tables_at_a_time(spark):
+    """Queries in flight hold driver memory: there are no more than AT_ONCE, whatever the number of tables."""
+    import threading
+    import time
+
+    lock, now, most = threading.Lock(), [0], [0]
+
+    def work(name):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.05)
+        with lock:
+            now[0] -= 1
+        return name
+
+    assert incremental._side_by_side(work, pipeline.MART_TABLES) == list(pipeline.MART_TABLES)
+    assert most[0] <= incremental.AT_ONCE
