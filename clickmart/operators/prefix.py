@@ -34,14 +34,14 @@ _AGGS = {"sum": F.sum, "max": F.max}
 
 
 def strictly_earlier(df: DataFrame, key: str, order: str, value: str, how: str,
-                     out: str, bucket_us: int | Sequence[int] = DEFAULT_BUCKETS) -> DataFrame:
+                     out: str, bucket_us: int | Sequence[int] = DEFAULT_BUCKETS, shuffled: bool = False) -> DataFrame:
     """Add ``out`` = sum/max of ``value`` over rows with the same ``key`` and a
     strictly smaller ``order`` (a LONG, e.g. epoch micros).
 
     ``bucket_us`` holds the widths of nested buckets, finest first; the rows of a
     level are the buckets of the one below. ``sum`` yields 0 and ``max`` yields
     NULL when there is no earlier row. ``df`` must not contain NULL
-    ``key``/``order`` values.
+    ``key``/``order`` values. ``shuffled``: sums of buckets are never sent from the driver.
     """
     agg = _AGGS[how]
     widths = (bucket_us,) if isinstance(bucket_us, int) else tuple(bucket_us)
@@ -56,7 +56,8 @@ def strictly_earlier(df: DataFrame, key: str, order: str, value: str, how: str,
             .rangeBetween(Window.unboundedPreceding, -1))
     local = rows.withColumn(local_, agg(value).over(w_in))
     sums = rows.groupBy(key, b).agg(agg(value).alias(total))
-    before = strictly_earlier(sums, key, b, total, how, earlier, widths[1:]).select(key, b, earlier)
+    before = strictly_earlier(sums, key, b, total, how, earlier, widths[1:], shuffled).select(key, b, earlier)
+    before = before.hint("merge") if shuffled else before
 
     joined = local.join(before, [key, b], "left")
     if how == "sum":

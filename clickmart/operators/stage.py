@@ -114,7 +114,7 @@ def purchases(browser: DataFrame, location: DataFrame,
     return purchases_from_events(b.join(l, "event_id"), bucket_us)
 
 
-def purchases_from_events(joined: DataFrame, bucket_us: int | Sequence[int] = DEFAULT_BUCKETS) -> DataFrame:
+def purchases_from_events(joined: DataFrame, bucket_us: int | Sequence[int] = DEFAULT_BUCKETS, shuffled: bool = False) -> DataFrame:
     """S5 from browser-location joined rows (session_id, event_id,
     event_timestamp, page_url_path), e.g. a materialised transitions table.
 
@@ -126,7 +126,9 @@ def purchases_from_events(joined: DataFrame, bucket_us: int | Sequence[int] = DE
     time gets a key of its own, made of its event_id, and time 0: nothing is
     earlier there, and no NULL group forms. The plan is cut at the base rows,
     at their keys and at the cumulated counts: each is evaluated once.
+    ``shuffled``: no join sends a side from the driver, however small its files are.
     """
+    side = lambda df: df.hint("merge") if shuffled else df
     l_ok = is_product("page_url_path") | is_confirmation("page_url_path")
     us = epoch_micros("event_timestamp")
     valid = F.col("session_id").isNotNull() & us.isNotNull()
@@ -141,21 +143,21 @@ def purchases_from_events(joined: DataFrame, bucket_us: int | Sequence[int] = DE
     # 1. products strictly before each (session, time) that has a confirmation
     at_key = cut(ev.groupBy(*key).agg(F.sum("is_product").alias("p"),
                                       F.max(F.col("is_conf").cast("int")).alias("c")), "purchase-keys")
-    before = (strictly_earlier(at_key, "who", "us", "p", "sum", "n_prior", bucket_us)
+    before = (strictly_earlier(at_key, "who", "us", "p", "sum", "n_prior", bucket_us, shuffled)
               .where("c = 1")
               .select(*key, F.greatest(F.lit(1).cast("long"), F.col("n_prior")).alias("n")))
-    conf = ev.where("is_conf").select("session_id", "event_id", "event_timestamp", *key).join(before, key)
+    conf = ev.where("is_conf").select("session_id", "event_id", "event_timestamp", *key).join(side(before), key)
 
     # 2. per (event_id, time): sum of n, attached to every confirmation with that id
     conf = cut(conf, "purchase-confirmations")
     pc = (conf.groupBy("event_id", F.col("event_timestamp").alias("pc_ts"))
           .agg(F.sum("n").alias("product_count")).drop("pc_ts"))
-    cum = cut(conf.drop("n").join(pc, "event_id"), "purchase-counts")
+    cum = cut(conf.drop("n").join(side(pc), "event_id"), "purchase-counts")
 
     # 3. minus the greatest cumulative count of strictly earlier confirmations
     top = cum.groupBy(*key).agg(F.max("product_count").alias("m"))
-    prior = (strictly_earlier(top, "who", "us", "m", "max", "prior_max", bucket_us)
+    prior = (strictly_earlier(top, "who", "us", "m", "max", "prior_max", bucket_us, shuffled)
              .select(*key, "prior_max"))
-    return cum.join(prior, key).select(
+    return cum.join(side(prior), key).select(
         "session_id", "event_timestamp",
         (F.col("product_count") - F.coalesce("prior_max", F.lit(0))).alias("product_count"))

@@ -203,7 +203,7 @@ def _raw_rows(spark: SparkSession, lake: Lakehouse, sessions: DataFrame) -> dict
 
 def _stage_rows(name: str, feeds: Mapping[str, DataFrame], tr: DataFrame) -> DataFrame:
     """A stage table of the feeds' rows and their transitions."""
-    return {"transitions": lambda: tr, "purchases": lambda: stage.purchases_from_events(tr),
+    return {"transitions": lambda: tr, "purchases": lambda: stage.purchases_from_events(tr, shuffled=True),
             "conversion": lambda: stage.conversion_from_ids(tr.select("session_id", "event_id"), feeds["location_events"]),
             "devices": lambda: stage.devices(feeds["device_events"]), "events": lambda: stage.events(feeds["browser_events"]),
             "geo": lambda: stage.geo(feeds["geo_events"]), "session_info": lambda: stage.session_info(feeds["browser_events"])}[name]()

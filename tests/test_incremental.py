@@ -176,3 +176,19 @@ def test_few_tables_at_a_time(spark):
 
     assert incremental._side_by_side(work, pipeline.MART_TABLES) == list(pipeline.MART_TABLES)
     assert most[0] <= incremental.AT_ONCE
+
+
+def test_purchases_of_a_run_send_nothing(spark, monkeypatch):
+    """Confirmations and their counts are small files of many rows: a run's purchases join them by shuffles, with the same rows."""
+    from clickmart.operators import stage
+
+    tr = incremental.cut(spark.range(300).selectExpr(
+        "concat('e', id) AS event_id", "concat('s', id % 7) AS session_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id) AS event_timestamp",
+        "IF(id % 5 = 0, '/confirmation', '/product_1') AS page_url_path"), "few-transitions")
+    plans, real = [], stage.cut
+    monkeypatch.setattr(stage, "cut", lambda df, name: plans.append(df) or real(df, name))
+    got = incremental._stage_rows("purchases", {}, tr)
+    assert len(plans) == 4
+    for df in (*plans, got):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().sparkPlan().toString()
+    assert rows(got) == rows(stage.purchases_from_events(tr))
